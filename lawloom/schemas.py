@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    pairs = (item.split() for item in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BILLSTATUS_KEYS = _struct(
