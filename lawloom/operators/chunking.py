@@ -152,12 +152,16 @@ def fixed_chunks(text: Column, size: int, overlap: int) -> Column:
 
 
 def explode_chunks(docs: DataFrame, chunks: Column, key: str = "tv_id") -> DataFrame:
-    """One row per chunk: the document's columns without its text, chunk_index, chunk_id, chunk."""
+    """One row per chunk: the document's columns without its text, chunk_index, chunk_id, chunk.
+
+    An outer explode with a filter above it: for an inner one the planner adds a size check below,
+    which would split every text twice.
+    """
     rows = docs.withColumn("__chunks", chunks)
     rows = rows.select(
-        *[c for c in docs.columns if c != "text"], F.posexplode("__chunks").alias("chunk_index", "__chunk")
+        *[c for c in docs.columns if c != "text"], F.posexplode_outer("__chunks").alias("chunk_index", "__chunk")
     )
-    return rows.select(
+    return rows.where(F.col("__chunk").isNotNull()).select(
         *[c for c in docs.columns if c != "text"],
         "chunk_index",
         dashed(F.col(key), F.col("chunk_index")).alias("chunk_id"),

@@ -461,17 +461,14 @@ BILL = Entity(
 
 def _decode(df: DataFrame, xml: str, schema: T.StructType, malformed: str, record: str, found: str,
             out: str, violations: str) -> DataFrame:
-    """One parse per document: the raw record is projected twice, never read again."""
-    return (
-        df.withColumn(RAW, F.from_xml(F.trim(xml), schema, XML_OPTIONS))
-        .withColumns(
-            {
-                out: F.expr(f"if({malformed}, null, {record})"),
-                violations: F.expr(f"if({malformed}, array('malformed'), {found})"),
-            }
-        )
-        .drop(RAW)
-    )
+    """One parse per document: the raw record is projected twice, never read again.
+
+    The result passes through a one-element `inline`. A later filter or explode on the record stays
+    above it; pushed below, it would repeat the parse for every field it mentions.
+    """
+    made = _struct([(out, f"if({malformed}, null, {record})"), (violations, f"if({malformed}, array('malformed'), {found})")])
+    parsed = df.withColumn(RAW, F.from_xml(F.trim(xml), schema, XML_OPTIONS))
+    return parsed.select(*df.columns, F.inline(F.array(F.expr(made))))
 
 
 def decode_status(df: DataFrame, xml: str = "bs_xml", out: str = "bs", violations: str = "violations") -> DataFrame:
