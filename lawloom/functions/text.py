@@ -18,7 +18,10 @@ SPACES = (
     r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 )
-DEPTH_BLOCK = 256
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+DEPTH_BLOCK = 64
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -28,7 +31,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip_spaces(text: Column) -> Column:
     """Leading and trailing white space removed, line breaks and tabs included."""
-    return F.regexp_replace(text, f"^{SPACES}|{SPACES}$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def singular_spaces(text: Column) -> Column:
@@ -53,6 +56,7 @@ def _from_code_point(ref: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Numeric references and the five named entities of XML turned to characters."""
+    raw = text
     refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(?:x[0-9a-fA-F]{1,6}|[0-9]{1,7});"), F.lit(0)))
     text = F.when(
         F.contains(text, F.lit("&#")),
@@ -60,7 +64,7 @@ def unescape(text: Column) -> Column:
     ).otherwise(text)
     for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
         text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
+    return F.when(F.contains(raw, F.lit("&")), text).otherwise(raw)
 
 
 def tokens(xml: Column) -> Column:
@@ -115,48 +119,61 @@ def section_text(xml: Column, tags: Sequence[str] = SECTION_TAGS, singular: bool
     return F.array_join(F.array_compact(F.array(*[one(t) for t in tags])), "\n\n")
 
 
-def _step(tok: Column) -> Column:
-    """Change of depth at a token: +1 opening tag, -1 closing tag, else 0."""
+_OPEN, _CLOSE, _EMPTY, _OTHER = 1, -1, 9, 0
+
+
+def _kind(tok: Column) -> Column:
+    """What a token does to the depth."""
+    def starts(prefix: str) -> Column:
+        return F.startswith(tok, F.lit(prefix))
+
     return (
-        F.when(~F.startswith(tok, F.lit("<")) | tok.rlike(r"^<[!?]") | F.endswith(tok, F.lit("/>")), F.lit(0))
-        .when(F.startswith(tok, F.lit("</")), F.lit(-1))
-        .otherwise(F.lit(1))
+        F.when(~starts("<") | starts("<!") | starts("<?"), F.lit(_OTHER))
+        .when(starts("</"), F.lit(_CLOSE))
+        .when(F.endswith(tok, F.lit("/>")), F.lit(_EMPTY))
+        .otherwise(F.lit(_OPEN))
     )
 
 
-def _running_sum(steps: Column, block: int = DEPTH_BLOCK) -> Column:
-    """Running sum of an int array, in blocks, so that cost stays linear in its length."""
+def _change(kind: Column) -> Column:
+    return F.when(kind == _EMPTY, F.lit(0)).otherwise(kind)
+
+
+def _depths(kinds: Column, block: int = DEPTH_BLOCK) -> Column:
+    """Depth after each token, summed in blocks, so that cost stays linear in the token count."""
     ints = F.array().cast("array<int>")
 
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda a, k: a + _change(k))
+
     def within(part: Column, start: Column) -> Column:
         return F.aggregate(
             part,
             F.struct(start.alias("d"), ints.alias("out")),
-            lambda acc, x: F.struct(
-                (acc["d"] + x).alias("d"), F.concat(acc["out"], F.array(acc["d"] + x)).alias("out")
+            lambda acc, k: F.struct(
+                (acc["d"] + _change(k)).alias("d"),
+                F.concat(acc["out"], F.array(acc["d"] + _change(k))).alias("out"),
             ),
             lambda acc: acc["out"],
         )
 
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
-
-    def over(st: Column) -> Column:
-        n_blocks = F.ceil(F.size(st) / F.lit(block)).cast("int")
-        parts = F.transform(
-            F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(st, b * block + 1, F.lit(block))
-        )
-        return bind(
-            parts,
-            lambda ps: bind(
-                F.transform(ps, total),
-                lambda sums: F.flatten(
-                    F.transform(ps, lambda p, b: within(p, total(F.slice(sums, F.lit(1), b))))
-                ),
+    n_blocks = F.ceil(F.size(kinds) / F.lit(block)).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(kinds, b * block + 1, F.lit(block)))
+    made = bind(
+        parts,
+        lambda ps: bind(
+            F.transform(ps, total),
+            lambda sums: F.flatten(
+                F.transform(
+                    ps,
+                    lambda p, b: within(
+                        p, F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), lambda a, x: a + x)
+                    ),
+                )
             ),
-        )
-
-    return bind(steps, lambda st: F.when(F.size(st) > 0, over(st)).otherwise(ints))
+        ),
+    )
+    return F.when(F.size(kinds) > 0, made).otherwise(ints)
 
 
 def children(xml: Column, depth: int = 1) -> Column:
@@ -164,20 +181,17 @@ def children(xml: Column, depth: int = 1) -> Column:
 
     Gives array<struct<name, text>>. Elements that never close are left out; `is_balanced` tells.
     """
-    def body(tk: Column, dep: Column) -> Column:
+    def body(tk: Column, kind: Column, dep: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(tk) - 1)
-        opens = F.filter(at, lambda i: (F.get(dep, i) == depth + 1) & (_step(F.get(tk, i)) == 1))
-        closes = F.filter(at, lambda i: (F.get(dep, i) == depth) & (_step(F.get(tk, i)) == -1))
-        empties = F.filter(
-            at,
-            lambda i: (F.get(dep, i) == depth)
-            & F.endswith(F.get(tk, i), F.lit("/>"))
-            & ~F.get(tk, i).rlike(r"^<[!?]")
-            & F.startswith(F.get(tk, i), F.lit("<")),
-        )
+
+        def places(what: int, level: int) -> Column:
+            return F.filter(at, lambda i: (F.get(kind, i) == what) & (F.get(dep, i) == level))
+
         spans = F.concat(
-            F.zip_with(opens, closes, lambda s, e: F.struct(s.alias("s"), e.alias("e"))),
-            F.transform(empties, lambda i: F.struct(i.alias("s"), i.alias("e"))),
+            F.zip_with(
+                places(_OPEN, depth + 1), places(_CLOSE, depth), lambda s, e: F.struct(s.alias("s"), e.alias("e"))
+            ),
+            F.transform(places(_EMPTY, depth), lambda i: F.struct(i.alias("s"), i.alias("e"))),
         )
         spans = F.array_sort(F.filter(spans, lambda x: x["s"].isNotNull() & x["e"].isNotNull()))
         return F.transform(
@@ -188,10 +202,10 @@ def children(xml: Column, depth: int = 1) -> Column:
             ),
         )
 
-    def with_tokens(tk: Column) -> Column:
-        return bind(_running_sum(F.transform(tk, _step)), lambda dep: body(tk, dep))
-
-    found = bind(tokens(xml), with_tokens)
+    found = bind(
+        tokens(xml),
+        lambda tk: bind(F.transform(tk, _kind), lambda kind: bind(_depths(kind), lambda dep: body(tk, kind, dep))),
+    )
     return F.when(F.length(xml) > 0, found).otherwise(F.array().cast("array<struct<name:string,text:string>>"))
 
 
@@ -202,7 +216,7 @@ def child_names(xml: Column, depth: int = 1) -> Column:
 
 def is_balanced(xml: Column) -> Column:
     """As many closing as opening tags."""
-    return F.aggregate(F.transform(tokens(xml), _step), F.lit(0), lambda a, x: a + x) == 0
+    return F.aggregate(tokens(xml), F.lit(0), lambda a, t: a + _change(_kind(t))) == 0
 
 
 def text_of_children(kids: Column) -> Column:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lawloom.constants import SEPARATORS
 from lawloom.functions.keys import dashed
-from lawloom.functions.text import SPACES, bind, strip_spaces
+from lawloom.functions.text import SPACE_CHARS, bind, strip_spaces
 from lawloom.operators.numbering import number_within
 
+# Task functions travel with the job, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK_TYPE = "array<struct<text:string,start_index:int>>"
 DOC_FIELDS = (
     "tv_id", "legis_version", "legis_class", "legis_id", "congress_num", "legis_type", "legis_num", "text_date",
@@ -142,7 +147,7 @@ def fixed_chunks(text: Column, size: int, overlap: int) -> Column:
         raw,
         lambda w: F.struct(
             strip_spaces(w["raw"]).alias("text"),
-            (w["at"] + F.length(w["raw"]) - F.length(F.regexp_replace(w["raw"], f"^{SPACES}", "")))
+            (w["at"] + F.length(w["raw"]) - F.length(F.ltrim(w["raw"], F.lit(SPACE_CHARS))))
             .cast("int")
             .alias("start_index"),
         ),

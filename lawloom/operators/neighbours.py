@@ -6,14 +6,19 @@ what is shuffled grows with queries times tasks, never with queries times vector
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+# Task functions travel with the job, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BROADCAST_QUERIES = 4_096
 QUERY_BLOCK = 4_096
 CORPUS_SLICE = 65_536

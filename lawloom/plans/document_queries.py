@@ -46,7 +46,7 @@ def _sql_singular(x: str) -> str:
         FROM (SELECT doc_id, lang, source, unnest({_LINES}) AS line, unnest(range(0, len({_LINES}))) AS pos FROM documents)""",
 )
 def q_xml_decode_nested(spark, d):
-    docs = decode.decode_status(I.status_documents(T(spark, d, "documents")))
+    docs = decode.decode_status(I.status_documents(I.wide(spark, d, "documents")))
     rows = docs.select(
         "doc_id", "bs.number", "bs.type", "bs.title", F.posexplode("bs.actions").alias("pos", "action"),
         F.get("bs.text_versions", 0)["url"].alias("url"), F.size("violations").alias("n_violations"),
@@ -72,7 +72,7 @@ def q_xml_quarantine(spark, d):
         .when(kind == 4, F.replace(xml, F.lit("<congress>118</congress>"), F.lit("<congress>x</congress>")))
         .otherwise(xml)
     )
-    docs = I.status_documents(T(spark, d, "documents")).withColumn("bs_xml", damaged)
+    docs = I.status_documents(I.wide(spark, d, "documents")).withColumn("bs_xml", damaged)
     _, bad = decode.split_quarantine(decode.decode_status(docs))
     return bad.select("doc_id", F.array_join("violations", ",").alias("violations"))
 
@@ -147,8 +147,8 @@ def q_resolution_attributes(spark, d):
     "UNION ALL SELECT 'bill', true, count(*) FROM documents",
 )
 def q_root_tag_profile(spark, d):
-    both = T(spark, d, "pages").select(F.col("html").alias("xml")).unionAll(
-        I.text_documents(T(spark, d, "documents")).select("tv_xml")
+    both = I.wide(spark, d, "pages").select(F.col("html").alias("xml")).unionAll(
+        I.text_documents(I.wide(spark, d, "documents")).select("tv_xml")
     )
     tagged = both.select(K.root_tag(F.col("xml")).alias("root_tag"))
     counted = tagged.groupBy("root_tag").agg(F.count("*").alias("n"))
@@ -163,7 +163,7 @@ def q_root_tag_profile(spark, d):
           UNION ALL SELECT 'congress', count(*) FROM documents UNION ALL SELECT 'session', count(*) FROM documents) WHERE n > 0""",
 )
 def q_tag_counts(spark, d):
-    return profile.tag_counts(I.text_documents(T(spark, d, "documents")), "tv_xml", depth=2)
+    return profile.tag_counts(I.text_documents(I.wide(spark, d, "documents")), "tv_xml", depth=2)
 
 
 @query(
@@ -171,23 +171,23 @@ def q_tag_counts(spark, d):
     """SELECT CASE WHEN lang = 'en' THEN 'metadata>' ELSE '' END || 'form>empty>legis-body' AS shape, count(*) AS n FROM documents GROUP BY 1""",
 )
 def q_tag_shape_counts(spark, d):
-    return profile.tag_shapes(I.text_documents(T(spark, d, "documents")), "tv_xml")
+    return profile.tag_shapes(I.text_documents(I.wide(spark, d, "documents")), "tv_xml")
 
 
 @query("q_singular_ws", f"SELECT doc_id, {_sql_singular('text')} AS text FROM documents")
 def q_singular_ws(spark, d):
-    return T(spark, d, "documents").select("doc_id", X.singular_spaces(F.col("text")).alias("text"))
+    return I.wide(spark, d, "documents").select("doc_id", X.singular_spaces(F.col("text")).alias("text"))
 
 
 @query("q_text_all", f"SELECT page_id, {_sql_text_of('html')} AS text FROM pages")
 def q_text_all(spark, d):
-    return T(spark, d, "pages").select("page_id", X.all_text(F.col("html")).alias("text"))
+    return I.wide(spark, d, "pages").select("page_id", X.all_text(F.col("html")).alias("text"))
 
 
 @query("q_text_element", f"SELECT page_id, {_sql_element('html', 'article')} AS text, {_sql_element('html', 'aside')} AS absent FROM pages")
 def q_text_element(spark, d):
     html = F.col("html")
-    return T(spark, d, "pages").select(
+    return I.wide(spark, d, "pages").select(
         "page_id", X.element_text(html, "article").alias("text"), X.element_text(html, "aside").alias("absent")
     )
 
@@ -201,7 +201,7 @@ _PAGE_TAGS = ("footer", "aside", "title", "article")
           chr(10) || chr(10)) AS text FROM pages""",
 )
 def q_text_sections(spark, d):
-    return T(spark, d, "pages").select("page_id", X.section_text(F.col("html"), _PAGE_TAGS).alias("text"))
+    return I.wide(spark, d, "pages").select("page_id", X.section_text(F.col("html"), _PAGE_TAGS).alias("text"))
 
 
 @query(
@@ -211,7 +211,7 @@ def q_text_sections(spark, d):
 )
 def q_text_root_children(spark, d):
     xml = F.col("tv_xml")
-    return I.text_documents(T(spark, d, "documents")).select(
+    return I.text_documents(I.wide(spark, d, "documents")).select(
         "doc_id", X.bill_text(xml).alias("text"), X.is_balanced(xml).alias("is_balanced")
     )
 
@@ -238,7 +238,7 @@ def q_chunk_docs(spark, d):
         FROM s WHERE {_sql_strip('raw')} <> ''""",
 )
 def q_chunk_fixed(spark, d):
-    rows = T(spark, d, "documents").select("doc_id", F.explode(chunking.fixed_chunks(F.col("text"), 1024, 256)).alias("c"))
+    rows = I.wide(spark, d, "documents").select("doc_id", F.explode(chunking.fixed_chunks(F.col("text"), 1024, 256)).alias("c"))
     return rows.select("doc_id", "c.text", "c.start_index")
 
 
@@ -293,7 +293,7 @@ def _sql_chunks(size: int, overlap: int) -> str:
 
 
 def _recursive(spark, d, size, overlap):
-    docs = T(spark, d, "documents").select("doc_id", "text")
+    docs = I.wide(spark, d, "documents").select("doc_id", "text")
     return chunking.explode_chunks(docs, chunking.recursive_chunks(F.col("text"), size, overlap), key="doc_id")
 
 
@@ -315,7 +315,7 @@ def q_chunk_recursive_2048(spark, d):
          true AS is_repeatable FROM documents""",
 )
 def q_embed_hashing(spark, d):
-    docs = T(spark, d, "documents").select("doc_id", "text")
+    docs = I.wide(spark, d, "documents").select("doc_id", "text")
     twice = embed.embed_hashing(embed.embed_hashing(docs), out="again")
     return twice.select(
         "doc_id", F.size("vec").alias("dim"), F.round(V.norm(F.col("vec")), 4).alias("norm"),
@@ -413,7 +413,7 @@ def q_neighbor_rows(spark, d):
 def q_rag_context(spark, d):
     vecs = T(spark, d, "embeddings")
     hits = neighbours.nearest(I.label_centres(vecs), I.vectors(vecs), 16, "query_id", cosine=False, skip_self=False)
-    docs = T(spark, d, "documents").select(
+    docs = I.wide(spark, d, "documents").select(
         F.col("doc_id").alias("neighbour_id"), F.col("doc_id").cast("string").alias("legis_id"), "text"
     )
     made = context.build_context(join_rows(hits, docs, "neighbour_id"))
@@ -423,7 +423,7 @@ def q_rag_context(spark, d):
 @query("q_retrieve_text")
 def q_retrieve_text(spark, d):
     """Benchmark texts as questions over document chunks; vectors come from word hashing, so no SQL."""
-    docs = T(spark, d, "documents").select(F.col("doc_id").cast("string").alias("tv_id"), "text")
+    docs = I.wide(spark, d, "documents").select(F.col("doc_id").cast("string").alias("tv_id"), "text")
     chunks = chunking.explode_chunks(docs, chunking.recursive_chunks(F.col("text"), 1024, 256))
     corpus = embed.embed_hashing(chunks.select("chunk_id", "text"))
     asked = embed.embed_hashing(embed.as_questions(T(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text")))

@@ -18,6 +18,7 @@ from lawloom.operators.upsert import merge_latest
 from lawloom.sources.sinks import chunk_tag, export_by
 from lawloom.sources.xmltree import read_status, read_texts
 from lawloom.constants import PASSAGES_PER_QUESTION
+from lawloom.session import spread
 
 BILL_ORDER = ("legis_type", "legis_num")
 
@@ -61,7 +62,7 @@ def write_texts(spark: SparkSession, tables: str, out: str) -> None:
 
 def write_chunks(spark: SparkSession, tables: str, out: str, settings: Sequence[tuple[int, int]]) -> None:
     """Chunk tables for several (size, overlap) settings."""
-    docs = chunk_documents(first_versions(spark, tables))
+    docs = spread(chunk_documents(first_versions(spark, tables)))
     for size, overlap in settings:
         chunks = chunk_table(docs, size, overlap).withColumn("congress_num", F.col("metadata.congress_num"))
         export_by(chunks, f"{out}/{chunk_tag(size, overlap)}", ("chunk_id",))

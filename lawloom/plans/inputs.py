@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawloom.functions.keys import dashed
+from lawloom.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row."""
+    return spread(table(spark, folder, name))
+
+
 def _escaped(text: Column) -> Column:
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(char), F.lit(entity))
