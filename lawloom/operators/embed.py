@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -14,15 +13,14 @@ from lawloom.constants import QUERY_INSTRUCTION, VECTOR_SIZE
 
 def embed_hashing(df: DataFrame, text: str = "text", out: str = "vec", size: int = VECTOR_SIZE) -> DataFrame:
     """Hashed word counts at length one: needs no model, runs in the JVM, same text same vector."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"\s+"),
+    rows = df.withColumn("__text", F.coalesce(text, F.lit("")))
+    for stage in (
+        RegexTokenizer(inputCol="__text", outputCol="__words", pattern=r"\s+"),
         HashingTF(inputCol="__words", outputCol="__counts", numFeatures=size),
         Normalizer(inputCol="__counts", outputCol="__unit", p=2.0),
-    ]
-    # These stages have no state to fit; an empty frame is enough.
-    model = Pipeline(stages=stages).fit(df.limit(0))
-    vectors = model.transform(df.withColumn(text, F.coalesce(text, F.lit(""))))
-    return vectors.withColumn(out, vector_to_array("__unit", "float32")).drop("__words", "__counts", "__unit")
+    ):
+        rows = stage.transform(rows)
+    return rows.withColumn(out, vector_to_array("__unit", "float32")).drop("__text", "__words", "__counts", "__unit")
 
 
 def embed_with(

@@ -1,4 +1,4 @@
-"""Exact nearest neighbours by cosine or dot product.
+"""Nearest neighbours by cosine or dot product, exact or within cells of similar vectors.
 
 Scores are matrix products over Arrow batches; every task keeps only its best k rows per query, so
 what is shuffled grows with queries times tasks, never with queries times vectors.
@@ -14,7 +14,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Task functions travel with the job, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,14 +43,19 @@ def _sortable(ids: np.ndarray) -> np.ndarray:
     return ids.astype(str) if ids.dtype == object else ids
 
 
-def _best(q_ids, q_vecs, ids, vecs, k: int, skip_self: bool):
-    """(query position, id, score) of the best k rows per query, ties by id."""
+def _best(q_ids, q_vecs, ids, vecs, k: int, skip_self: bool, allowed: np.ndarray | None = None):
+    """(query position, id, score) of the best k rows per query, ties by id.
+
+    `allowed` (queries by rows) leaves the other pairs out.
+    """
     out = []
     for lo in range(0, len(q_ids), _ROWS_AT_ONCE):
         block = slice(lo, lo + _ROWS_AT_ONCE)
         scores = np.round(q_vecs[block] @ vecs.T, SCORE_DIGITS) + 0.0
         if skip_self:
             scores[q_ids[block][:, None] == ids[None, :]] = -np.inf
+        if allowed is not None:
+            scores[~allowed[block]] = -np.inf
         n = scores.shape[1]
         floor = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(scores), -np.inf)
         rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
@@ -62,14 +70,16 @@ def _best(q_ids, q_vecs, ids, vecs, k: int, skip_self: bool):
 def _scan(batches: Iterator[pa.RecordBatch], held, k: int, size: int, cosine: bool, skip_self: bool,
           schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Best k per query over one partition, carried from batch to batch."""
-    q_ids, q_vecs = held.value
+    q_ids, q_vecs, probes = held.value
     kept = None
     for batch in batches:
         if not batch.num_rows:
             continue
         ids = _sortable(batch.column(0).to_numpy(zero_copy_only=False))
         vecs = _matrix(batch.column(1), size)
-        rows, found, scores = _best(q_ids, q_vecs, ids, _unit_rows(vecs) if cosine else vecs, k, skip_self)
+        # probes: queries by cells; a third column then names each row's cell.
+        allowed = None if probes is None else probes[:, batch.column(2).to_numpy()]
+        rows, found, scores = _best(q_ids, q_vecs, ids, _unit_rows(vecs) if cosine else vecs, k, skip_self, allowed)
         if kept is not None:
             rows, found, scores = (np.concatenate(p) for p in zip(kept, (rows, found, scores)))
             order = np.lexsort((found, -scores, rows))
@@ -106,6 +116,43 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
+def _result(queries: DataFrame, rows: DataFrame) -> T.StructType:
+    return (
+        T.StructType()
+        .add("query_id", queries.schema["query_id"].dataType)
+        .add("neighbour_id", rows.schema["neighbour_id"].dataType)
+        .add("score", "double")
+    )
+
+
+def _asked(queries: DataFrame, query_id: str, vec: str) -> DataFrame:
+    return queries.where(F.col(vec).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(vec).alias("vec"))
+
+
+def hold_queries(asked: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Ids and vectors of at most `limit` queries; None when there are more.
+
+    The limit bounds what reaches the driver, whatever the size of the query table.
+    """
+    held = asked.limit(limit + 1).toArrow()
+    if held.num_rows > limit:
+        return None
+    column = held.column("vec").combine_chunks()
+    size = len(column[0]) if held.num_rows else 0
+    return _sortable(held.column("query_id").to_numpy()), _matrix(column, size) if size else np.zeros((0, 0))
+
+
+def scan_rows(rows: DataFrame, held, out: T.StructType, k: int, cosine: bool, skip_self: bool,
+              probes: np.ndarray | None = None) -> DataFrame:
+    """Best k rows per held query: one pass over `rows`, no shuffle before the tasks' best rows."""
+    q_ids, q_vecs = held
+    sent = rows.sparkSession.sparkContext.broadcast((q_ids, _unit_rows(q_vecs) if cosine else q_vecs, probes))
+    scan = partial(
+        _scan, held=sent, k=k, size=q_vecs.shape[1], cosine=cosine, skip_self=skip_self, schema=to_arrow_schema(out)
+    )
+    return _top(rows.mapInArrow(scan, out), k)
+
+
 def nearest(
     queries: DataFrame,
     corpus: DataFrame,
@@ -124,49 +171,87 @@ def nearest(
     unique id; every block meets every slice in one task of bounded size. Both ways are exact.
     """
     spark = corpus.sparkSession
-    asked = queries.where(F.col(vec).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(vec).alias("vec"))
+    asked = _asked(queries, query_id, vec)
     rows = corpus.where(F.col(vec).isNotNull()).select(
         F.col(corpus_id).alias("neighbour_id"), F.col(vec).alias("vec")
     )
-    out = (
-        T.StructType()
-        .add("query_id", asked.schema["query_id"].dataType)
-        .add("neighbour_id", rows.schema["neighbour_id"].dataType)
-        .add("score", "double")
-    )
-    # The limit bounds what reaches the driver, whatever the size of the query table.
-    held = asked.limit(broadcast_queries + 1).toArrow()
-    if held.num_rows == 0:
-        return spark.createDataFrame([], T.StructType(out.fields).add("rank", "int"))
-    if held.num_rows <= broadcast_queries:
-        size = len(held.column("vec")[0])
-        q_vecs = _matrix(held.column("vec").combine_chunks(), size)
-        q_ids = _sortable(held.column("query_id").to_numpy())
-        sent = spark.sparkContext.broadcast((q_ids, _unit_rows(q_vecs) if cosine else q_vecs))
-        arrow = {T.StringType(): pa.string(), T.LongType(): pa.int64(), T.IntegerType(): pa.int32()}
-        schema = pa.schema(
-            [
-                ("query_id", arrow[out["query_id"].dataType]),
-                ("neighbour_id", arrow[out["neighbour_id"].dataType]),
-                ("score", pa.float64()),
-            ]
-        )
-        scan = partial(
-            _scan, held=sent, k=k, size=size, cosine=cosine, skip_self=skip_self, schema=schema
-        )
-        return _top(rows.mapInArrow(scan, out), k)
-    n_queries, n_rows = asked.count(), rows.count()
-    blocks = max(1, -(-n_queries // (QUERY_BLOCK // 2)))
-    slices = max(1, -(-n_rows // (CORPUS_SLICE // 2)))
+    out = _result(asked, rows)
+    held = hold_queries(asked, broadcast_queries)
+    if held is not None:
+        if not len(held[0]):
+            return spark.createDataFrame([], T.StructType(out.fields).add("rank", "int"))
+        return scan_rows(rows, held, out, k, cosine, skip_self)
+    blocks = max(1, -(-asked.count() // (QUERY_BLOCK // 2)))
+    slices = max(1, -(-rows.count() // (CORPUS_SLICE // 2)))
 
-    def spread(df: DataFrame, own: str, n_own: int, other: str, n_other: int, key: str) -> DataFrame:
+    def spread_over(df: DataFrame, own: str, n_own: int, other: str, n_other: int, key: str) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
         )
 
-    left = spread(asked, "qb", blocks, "cs", slices, "query_id")
-    right = spread(rows, "cs", slices, "qb", blocks, "neighbour_id")
+    left = spread_over(asked, "qb", blocks, "cs", slices, "query_id")
+    right = spread_over(rows, "cs", slices, "qb", blocks, "neighbour_id")
     found = left.groupBy("qb", "cs").cogroup(right.groupBy("qb", "cs")).applyInPandas(
         lambda q, c: _block(q, c, k, cosine, skip_self), out
     )
     return _top(found, k)
+
+
+def write_cells(
+    corpus: DataFrame, path: str, n_cells: int, corpus_id: str = "vec_id", vec: str = "vec",
+    train_rows: int = 1_000_000, seed: int = 7,
+) -> np.ndarray:
+    """Write the corpus as a folder per cell of similar vectors; returns the cells' centres.
+
+    Centres are fitted on a sample, all rows are written. Ranges of (cell, id) spread a large cell
+    over many tasks and files.
+    """
+    rows = corpus.where(F.col(vec).isNotNull()).select(F.col(corpus_id).alias("neighbour_id"), F.col(vec).alias("vec"))
+    points = rows.withColumn("__v", array_to_vector(F.col("vec").cast("array<double>")))
+    total = rows.count()
+    train = points if total <= train_rows else points.sample(train_rows / total, seed=seed)
+    fitted = KMeans(k=n_cells, seed=seed, featuresCol="__v", predictionCol="cell").fit(train)
+    (
+        fitted.transform(points)
+        .drop("__v")
+        .repartitionByRange("cell", "neighbour_id")
+        .write.mode("overwrite")
+        .partitionBy("cell")
+        .parquet(path)
+    )
+    return np.array(fitted.clusterCenters())
+
+
+def nearest_in_cells(
+    queries: DataFrame,
+    path: str,
+    centres: np.ndarray,
+    k: int,
+    probes: int,
+    query_id: str = "vec_id",
+    vec: str = "vec",
+    cosine: bool = True,
+    skip_self: bool = True,
+    broadcast_queries: int = BROADCAST_QUERIES,
+) -> DataFrame:
+    """Approximate k best: each query looks only into its `probes` nearest cells.
+
+    Only those cells' folders are read. With as many probes as cells the result is exact. A query
+    batch above the limit is refused; cut it into several.
+    """
+    spark = queries.sparkSession
+    asked = _asked(queries, query_id, vec)
+    held = hold_queries(asked, broadcast_queries)
+    if held is None:
+        raise ValueError(f"more than {broadcast_queries} queries in one batch")
+    stored = spark.read.parquet(path)
+    out = _result(asked, stored)
+    if not len(held[0]):
+        return spark.createDataFrame([], T.StructType(out.fields).add("rank", "int"))
+    away = ((held[1][:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    near = np.argsort(away, axis=1, kind="stable")[:, :probes]
+    wanted = np.zeros(away.shape, dtype=bool)
+    np.put_along_axis(wanted, near, True, axis=1)
+    cells = [int(c) for c in np.flatnonzero(wanted.any(axis=0))]
+    rows = stored.where(F.col("cell").isin(cells)).select("neighbour_id", "vec", F.col("cell").cast("int").alias("cell"))
+    return scan_rows(rows, held, out, k, cosine, skip_self, wanted)

@@ -9,6 +9,7 @@ from lawloom.operators import chunking, context, decode, embed, neighbours, prof
 from lawloom.operators.enrich import join_rows
 from lawloom.plans import inputs as I
 from lawloom.plans.registry import query
+from lawloom.session import scratch_path
 from lawloom.sources.tables import select_splits
 
 T = I.table
@@ -389,6 +390,27 @@ def q_knn_filtered(spark, d):
     return _ranked(neighbours.nearest(I.label_centres(vecs), corpus, 5, "query_id", skip_self=False))
 
 
+@query("q_knn_cells_all", f"WITH {_CENTRES} " + _sql_top("q", _COS, 10))
+def q_knn_cells_all(spark, d):
+    """Search by cells with every cell probed, which must equal the exact search."""
+    return _by_cells(spark, d, probes=8)
+
+
+@query("q_knn_cells")
+def q_knn_cells(spark, d):
+    """Approximate search, two cells of eight per query."""
+    return _by_cells(spark, d, probes=2)
+
+
+def _by_cells(spark, d, probes):
+    vecs = T(spark, d, "embeddings")
+    path = scratch_path(spark, "cells")
+    centres = neighbours.write_cells(I.vectors(vecs), path, 8)
+    return _ranked(
+        neighbours.nearest_in_cells(I.label_centres(vecs), path, centres, 10, probes, "query_id", skip_self=False)
+    )
+
+
 @query(
     "q_neighbor_rows",
     "WITH t AS ("
