@@ -63,7 +63,8 @@ def code_lookup(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
 def export_rows(chunks: DataFrame, bills: DataFrame, with_vectors: bool = False) -> DataFrame:
     """Chunks with bill fields as the search export holds them."""
     bs = F.col("bs")
-    merged = chunks.join(
+    own = ["chunk_id", "tv_id", "legis_id", "text", *(["vec"] if with_vectors else [])]
+    merged = chunks.select(*own).join(
         bills.select("legis_id", "congress_num", "legis_type", "legis_num", "bs"), "legis_id"
     )
     name = P.first_field(bs["sponsors"], "full_name", "")

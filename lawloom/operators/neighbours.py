@@ -179,7 +179,7 @@ def nearest(
     held = hold_queries(asked, broadcast_queries)
     if held is not None:
         if not len(held[0]):
-            return spark.createDataFrame([], T.StructType(out.fields).add("rank", "int"))
+            return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
         return scan_rows(rows, held, out, k, cosine, skip_self)
     blocks = max(1, -(-asked.count() // (QUERY_BLOCK // 2)))
     slices = max(1, -(-rows.count() // (CORPUS_SLICE // 2)))
@@ -247,7 +247,7 @@ def nearest_in_cells(
     stored = spark.read.parquet(path)
     out = _result(asked, stored)
     if not len(held[0]):
-        return spark.createDataFrame([], T.StructType(out.fields).add("rank", "int"))
+        return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
     away = ((held[1][:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
     near = np.argsort(away, axis=1, kind="stable")[:, :probes]
     wanted = np.zeros(away.shape, dtype=bool)

@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lawloom.operators.chunking import chunk_documents, chunk_table
-from lawloom.operators.decode import split_quarantine
 from lawloom.operators.embed import as_questions, embed_hashing
 from lawloom.operators.enrich import export_rows, export_with_scores, flat_record
 from lawloom.operators.neighbours import nearest
 from lawloom.operators.context import build_context
 from lawloom.operators.splits import assign_splits, drop_empty_text, text_rows, write_splits
 from lawloom.operators.unify import newest_version, unify
-from lawloom.operators.upsert import merge_latest
+from lawloom.operators.upsert import upsert_folder
 from lawloom.sources.sinks import chunk_tag, export_by
 from lawloom.sources.xmltree import read_status, read_texts
 from lawloom.constants import PASSAGES_PER_QUESTION
@@ -24,23 +23,26 @@ BILL_ORDER = ("legis_type", "legis_num")
 
 
 def land(spark: SparkSession, root: str, out: str) -> None:
-    """Read the XML tree once into parquet: good rows and quarantined rows of both tables."""
+    """Read the XML tree once into parquet; rows that break a rule go to a folder of their own."""
     for name, read in (("billstatus", read_status), ("textversion", read_texts)):
-        rows = f"{out}/landed/{name}"
-        read(spark, root).write.mode("overwrite").parquet(rows)
-        good, bad = split_quarantine(spark.read.parquet(rows))
-        bad.write.mode("overwrite").parquet(f"{out}/quarantine/{name}")
-        good.write.mode("overwrite").parquet(f"{out}/arrived/{name}")
+        rows = read(spark, root).withColumn("state", F.when(F.size("violations") > 0, "quarantined").otherwise("kept"))
+        rows.write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}")
 
 
-def upsert_landed(spark: SparkSession, out: str, stored: str | None, target: str) -> None:
-    """Apply arrived rows to the tables below `stored`, writing the result below `target`."""
+def arrived(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Landed rows that keep all rules."""
+    return spark.read.parquet(f"{out}/{name}").where(F.col("state") == "kept").drop("state", "violations")
+
+
+def quarantined(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Landed rows that break a rule, with the rules' names."""
+    return spark.read.parquet(f"{out}/{name}").where(F.col("state") == "quarantined").drop("state")
+
+
+def upsert_landed(spark: SparkSession, out: str, tables: str) -> None:
+    """Apply landed rows to the tables; only congresses that have arrivals are rewritten."""
     for name, key in (("billstatus", "legis_id"), ("textversion", "tv_id")):
-        arrived = spark.read.parquet(f"{out}/arrived/{name}")
-        old = spark.read.parquet(f"{stored}/{name}") if stored else arrived.limit(0)
-        merge_latest(old, arrived, [key], ["lastmod", "scrape_path"]).write.mode("overwrite").parquet(
-            f"{target}/{name}"
-        )
+        upsert_folder(arrived(spark, out, name), f"{tables}/{name}", [key], ["lastmod", "scrape_path"], "congress_num")
 
 
 def write_unified(spark: SparkSession, tables: str, out: str) -> None:

@@ -42,16 +42,18 @@ def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
 
 
 def page_rows(df: DataFrame, order: Sequence[str], offset: int, length: int, max_length: int = 100) -> DataFrame:
-    """Rows `offset` to `offset + length` in key order, with their row number.
+    """Rows `offset` to `offset + length` in key order.
 
-    A page near the start is a bounded top-n. A deep page numbers the rows by ranges first, so that
-    no task holds all rows before the page.
+    `order` ends in a unique key. A page near the start is a bounded top-n. For a deep page only the
+    order columns are numbered, by ranges, so that no task holds all rows before the page; the page's
+    keys, at most `max_length`, then fetch their rows.
     """
     length = min(length, max_length)
     if offset + length <= SHALLOW_PAGE_END:
         return df.orderBy(*order).offset(offset).limit(length)
-    numbered = number_rows(df, [F.col(c) for c in order], name="__row")
-    return numbered.where(F.col("__row").between(offset, offset + length - 1)).drop("__row").orderBy(*order)
+    numbered = number_rows(df.select(*order), [F.col(c) for c in order], name="__row")
+    page = numbered.where(F.col("__row").between(offset, offset + length - 1)).drop("__row")
+    return df.join(F.broadcast(page), list(order), "left_semi").orderBy(*order).limit(length)
 
 
 def list_splits(df: DataFrame, column: str = "congress_num") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lawloom.operators.upsert import latest_rows
 
@@ -46,7 +46,7 @@ def read_current(
     spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Newest row per key over all batches; on equal order the later batch wins."""
-    log = spark.read.schema(StructType(schema.fields).add(BATCH, LongType())).parquet(path)
+    log = spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(path)
     return latest_rows(log, keys, [*order, BATCH]).drop(BATCH)
 
 
