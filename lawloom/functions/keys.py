@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from lawloom.constants import BILL_NAME_PATTERN, LAW_NAME_PATTERN, ROOT_TAGS, STATUS_PATH_PATTERN
@@ -22,8 +24,9 @@ def stem(name: Column) -> Column:
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """`path` without everything up to and including `root/`."""
-    return F.regexp_replace(path, "^.*?\\Q" + root.rstrip("/") + "\\E/", "")
+    """`path` without everything up to and including `root/`, whatever scheme either has."""
+    folder = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    return F.regexp_replace(path, "^.*?\\Q" + folder + "\\E/", "")
 
 
 def dashed(*parts: Column) -> Column:

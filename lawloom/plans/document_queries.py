@@ -61,7 +61,7 @@ def q_xml_decode_nested(spark, d):
 @query(
     "q_xml_quarantine",
     """SELECT doc_id, list_extract(['', 'malformed', 'number:differs', 'introduced_date:missing', 'congress:int'],
-         CAST(1 + doc_id % 5 AS BIGINT)) AS violations FROM documents WHERE doc_id % 5 <> 0""",
+         CAST(1 + doc_id % 5 AS BIGINT)) AS violations, doc_id % 5 = 0 AS is_kept FROM documents""",
 )
 def q_xml_quarantine(spark, d):
     xml = F.col("bs_xml")
@@ -74,8 +74,9 @@ def q_xml_quarantine(spark, d):
         .otherwise(xml)
     )
     docs = I.status_documents(I.wide(spark, d, "documents")).withColumn("bs_xml", damaged)
-    _, bad = decode.split_quarantine(decode.decode_status(docs))
-    return bad.select("doc_id", F.array_join("violations", ",").alias("violations"))
+    good, bad = decode.split_quarantine(decode.decode_status(docs))
+    kept = good.select("doc_id", F.lit("").alias("violations"), F.lit(True).alias("is_kept"))
+    return kept.unionByName(bad.select("doc_id", F.array_join("violations", ",").alias("violations"), F.lit(False).alias("is_kept")))
 
 
 @query(

@@ -13,20 +13,60 @@ from lawloom.operators.neighbours import nearest
 from lawloom.operators.context import build_context
 from lawloom.operators.splits import assign_splits, drop_empty_text, text_rows, write_splits
 from lawloom.operators.unify import newest_version, unify
-from lawloom.operators.upsert import upsert_folder
+from lawloom.operators.upsert import latest_rows, upsert_folder
 from lawloom.sources.sinks import chunk_tag, export_by
-from lawloom.sources.xmltree import read_status, read_texts
-from lawloom.constants import PASSAGES_PER_QUESTION
+from lawloom.sources.xmltree import read_status, read_texts, status_rows, text_rows as tree_text_rows
+from lawloom.streaming.ingest import BATCH, xml_arrivals
+from lawloom.constants import LASTMOD_SUFFIX, PASSAGES_PER_QUESTION
 from lawloom.session import spread
 
 BILL_ORDER = ("legis_type", "legis_num")
 
 
+def _with_state(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("state", F.when(F.size("violations") > 0, "quarantined").otherwise("kept"))
+
+
 def land(spark: SparkSession, root: str, out: str) -> None:
     """Read the XML tree once into parquet; rows that break a rule go to a folder of their own."""
     for name, read in (("billstatus", read_status), ("textversion", read_texts)):
-        rows = read(spark, root).withColumn("state", F.when(F.size("violations") > 0, "quarantined").otherwise("kept"))
-        rows.write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}")
+        _with_state(read(spark, root)).write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}")
+
+
+# Table, files of its kind with their side files, rows made of them, key.
+STREAMS = (
+    ("billstatus", "fdsys_billstatus*", status_rows, "legis_id"),
+    ("textversion", "{BILLS-*,PLAW-*}", tree_text_rows, "tv_id"),
+)
+
+
+def ingest_arrivals(spark: SparkSession, root: str, out: str, state: str) -> None:
+    """Land what has arrived in the tree since the last run, as one or more batches of a log.
+
+    A batch written again after a failure replaces its own folder.
+    """
+    for name, glob, make, _ in STREAMS:
+        def write(batch: DataFrame, batch_id: int, name=name, make=make) -> None:
+            side = F.endswith(F.col("path"), F.lit(LASTMOD_SUFFIX))
+            xml = F.endswith(F.col("path"), F.lit(".xml"))
+            rows = _with_state(make(batch.where(xml), batch.where(side), root))
+            rows.write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}/{BATCH}={batch_id}")
+
+        query = (
+            xml_arrivals(spark, root, glob)
+            .writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{state}/{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+
+def ingested(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Current rows of an ingested table: the newest per key over all batches."""
+    key = {n: k for n, _, _, k in STREAMS}[name]
+    log = spark.read.parquet(f"{out}/{name}").where(F.col("state") == "kept").drop("state", "violations")
+    return latest_rows(log, [key], ["lastmod", "scrape_path", BATCH]).drop(BATCH)
 
 
 def arrived(spark: SparkSession, out: str, name: str) -> DataFrame:

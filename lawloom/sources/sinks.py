@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -101,6 +102,13 @@ def feature_list(schema: T.StructType) -> list[dict]:
     return [{"name": f.name, **kind(f.dataType)} for f in schema.fields]
 
 
+def write_manifest(spark: SparkSession, splits: DataFrame, schema: T.StructType, path: str) -> None:
+    """Manifest rows and the feature list as JSON files; there are only as many rows as splits."""
+    splits.coalesce(1).write.mode("overwrite").json(f"{path}/splits")
+    features = spark.createDataFrame([(json.dumps(feature_list(schema)),)], "value string")
+    features.coalesce(1).write.mode("overwrite").text(f"{path}/features")
+
+
 def model_tag(model: str) -> str:
     return model.replace("/", "-")
 

@@ -33,10 +33,10 @@ def join_sidecar(
     return files.join(stamps, on, "left")
 
 
-def _with_lastmod(files: DataFrame, spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    stamps = read_files(spark, root, f"*{suffix}").select(
+def _with_lastmod(files: DataFrame, sidecars: DataFrame) -> DataFrame:
+    stamps = sidecars.select(
         K.parent_folder(F.col("path")).alias("folder"),
-        F.replace(K.last_segment(F.col("path")), F.lit(suffix), F.lit("")).alias("stem"),
+        F.replace(K.last_segment(F.col("path")), F.lit(LASTMOD_SUFFIX), F.lit("")).alias("stem"),
         F.col("body").alias("stamp_text"),
     )
     keyed = files.withColumns(
@@ -49,16 +49,20 @@ def _names(*pairs: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for test, name in pairs]))
 
 
-def read_status(spark: SparkSession, root: str) -> DataFrame:
-    """Status files as billstatus rows with `bs` decoded and `violations` named.
+def read_sidecars(spark: SparkSession, root: str) -> DataFrame:
+    return read_files(spark, root, f"*{LASTMOD_SUFFIX}")
+
+
+def status_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
+    """Status files (path, body) as billstatus rows with `bs` decoded and `violations` named.
 
     Rows whose path has another form, whose side file is missing or whose document breaks a rule
-    stay in the result; `split_quarantine` separates them.
+    stay in the result.
     """
-    files = _with_lastmod(read_files(spark, root, STATUS_FILE_NAME), spark, root, LASTMOD_SUFFIX)
     part = F.col("part")
     rows = (
-        files.withColumn("scrape_path", K.relative_path(F.col("path"), root))
+        _with_lastmod(files, sidecars)
+        .withColumn("scrape_path", K.relative_path(F.col("path"), root))
         .withColumn("part", K.status_path_parts(F.col("scrape_path")))
         .select(
             K.dashed(part["congress_num"], part["legis_type"], part["legis_num"]).alias("legis_id"),
@@ -74,24 +78,31 @@ def read_status(spark: SparkSession, root: str) -> DataFrame:
     return decode_status(rows).withColumn("violations", F.concat(found, "violations"))
 
 
-def text_files(spark: SparkSession, root: str) -> DataFrame:
-    """All XML files with the keys in their names; `part` is null for a name of another form."""
-    files = read_files(spark, root, "*.xml")
+def read_status(spark: SparkSession, root: str) -> DataFrame:
+    return status_rows(read_files(spark, root, STATUS_FILE_NAME), read_sidecars(spark, root), root)
+
+
+def named_files(files: DataFrame) -> DataFrame:
+    """Files with the keys in their names; `part` is null for a name of another form."""
     name = K.last_segment(F.col("path"))
     return files.withColumns({"file_name": name, "part": K.text_name_parts(name)})
 
 
+def text_files(spark: SparkSession, root: str) -> DataFrame:
+    return named_files(read_files(spark, root, "*.xml"))
+
+
 def unmatched_names(named: DataFrame, name: str = "file_name", part: str = "part") -> DataFrame:
     """How often each name of another form occurs."""
     return named.where(F.col(part).isNull()).groupBy(name).agg(F.count("*").alias("n"))
 
 
-def read_texts(spark: SparkSession, root: str) -> DataFrame:
+def text_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
     """Text files as textversion rows, reading text extracted, `violations` named."""
-    matched = text_files(spark, root).where(F.col("part").isNotNull())
+    matched = named_files(files).where(F.col("part").isNotNull())
     part = F.col("part")
     rows = (
-        _with_lastmod(matched, spark, root, LASTMOD_SUFFIX)
+        _with_lastmod(matched, sidecars)
         .withColumn("scrape_path", K.relative_path(F.col("path"), root))
         .withColumn("xml_type", K.markup_kind(F.col("scrape_path")))
         .withColumn("tv_xml", strip_spaces(F.col("body")))
@@ -122,3 +133,7 @@ def read_texts(spark: SparkSession, root: str) -> DataFrame:
             )
         ),
     )
+
+
+def read_texts(spark: SparkSession, root: str) -> DataFrame:
+    return text_rows(read_files(spark, root, "*.xml"), read_sidecars(spark, root), root)

@@ -150,3 +150,17 @@ def test_second_arrival_updates(spark, landed, tmp_path):
     assert spark.read.parquet(f"{tables}/textversion").where("tv_id = '117-hr-3-ih-dtd'").count() == 1
     # The other congress was not rewritten.
     assert [p.name for p in (tmp_path / "t/billstatus/congress_num=118").glob("*.parquet")] == untouched
+
+
+def test_arrivals_equal_the_whole_tree(spark, tmp_path):
+    root, out, state = build(tmp_path / "tree"), str(tmp_path / "log"), str(tmp_path / "state")
+    flow.ingest_arrivals(spark, root, out, state)
+    put_status(root, 20, status(20), lastmod="2024-01-01T00:00:00Z")
+    put_text(root, "BILLS-117hr20ih.xml", text("Late", "x"), "2024-01-01T00:00:00Z")
+    flow.ingest_arrivals(spark, root, out, state)
+    flow.land(spark, root, str(tmp_path / "landed"))
+    for name, key in (("billstatus", "legis_id"), ("textversion", "tv_id")):
+        whole = flow.arrived(spark, str(tmp_path / "landed"), name)
+        got = flow.ingested(spark, out, name).select(whole.columns)
+        assert {tuple(map(str, r)) for r in got.collect()} == {tuple(map(str, r)) for r in whole.collect()}
+        assert got.where(f"{key} like '117-hr-20%'").count() == 1

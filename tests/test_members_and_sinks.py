@@ -76,3 +76,12 @@ def test_manifest_features():
     assert features[-1] == {"name": "vec", "list": {"dtype": "float32"}}
     meta = next(f for f in features if f["name"] == "metadata")
     assert {"name": "start_index", "dtype": "int32"} in meta["struct"]
+
+
+def test_manifest_files(spark, tmp_path):
+    df = spark.createDataFrame([(117, "a"), (117, "c"), (118, "b")], "congress_num int, k string")
+    rows = sinks.manifest(df, "congress_num", "k", "data/%s.parquet")
+    sinks.write_manifest(spark, rows, df.schema, str(tmp_path / "m"))
+    back = {r["congress_num"]: (r["n_rows"], r["min_key"], r["max_key"], r["path"]) for r in spark.read.json(str(tmp_path / "m/splits")).collect()}
+    assert back == {117: (2, "a", "c", "data/117.parquet"), 118: (1, "b", "b", "data/118.parquet")}
+    assert '"name": "k", "dtype": "string"' in spark.read.text(str(tmp_path / "m/features")).first()[0]
