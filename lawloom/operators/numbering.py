@@ -62,9 +62,10 @@ def number_within(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number rows within keys: a window when every key is small, by ranges when one is not."""
-    sizes = df.groupBy(*keys).count().where(F.col("count") > hot_rows)
-    if sizes.limit(1).count():
-        return number_rows(df, order, keys, name, start)
+    if df.count() > hot_rows:
+        sizes = df.groupBy(*keys).count().where(F.col("count") > hot_rows)
+        if sizes.limit(1).count():
+            return number_rows(df, order, keys, name, start)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, (F.row_number().over(window) - 1 + start).cast("bigint"))
 

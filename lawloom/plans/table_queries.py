@@ -722,7 +722,7 @@ def q_keep_cols(spark, d):
         .withField("update_date", F.lit("2024-02-03 04:05:06").cast("timestamp"))
         .alias("bs"),
     )
-    chunks = T(spark, d, "orders").select(
+    chunks = I.wide(spark, d, "orders").select(
         K.dashed(F.col("o_orderkey"), F.lit("0")).alias("chunk_id"),
         F.col("o_orderkey").cast("string").alias("tv_id"),
         F.col("o_custkey").cast("string").alias("legis_id"),
