@@ -5,6 +5,7 @@ import re
 import __spark_entry__ as entry
 import pytest
 from compare import connect, differences
+from lawloom.plans.registry import ORACLES, QUERIES
 
 FOLDER = entry.SMOKE_FOLDER
 # Queries with Python in tasks: text splitting and vector scoring.
@@ -32,14 +33,14 @@ def check_plan(df, name):
         assert not re.search(r"ArrowEvalPython|MapInArrow|MapInPandas|FlatMap", text)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_oracle(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     check_plan(df, name)
     assert differences(df, duck, entry.oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
     df = entry.queries()[name](spark, FOLDER)
     check_plan(df, name)
