@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import bpe
+from lawloom.llm import bpe, rules, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digest(table(spark, folder, "documents"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"))
+
+
+@query
+def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), urls.rule_table(spark))
+
+
+ORACLES |= {"op6_quality_rules": rules.ORACLE, "op9_url_filters": urls.ORACLE}
