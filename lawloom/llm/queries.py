@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import bpe, quality, rules, urls
+from lawloom.llm import bpe, pii, quality, rules, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,8 @@ ORACLES |= {"op6_quality_rules": rules.ORACLE, "op9_url_filters": urls.ORACLE}
 @query
 def op10_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
