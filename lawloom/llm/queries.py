@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import bpe, pii, quality, rules, urls
+from lawloom.llm import bpe, pii, quality, rules, token_counts, tokens_out, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,13 @@ def op10_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
+
+
+@query
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens_out.write_and_read(table(spark, folder, "documents"))
+
+
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.document_counts(table(spark, folder, "documents"))
