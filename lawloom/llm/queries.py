@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import bpe, pii, quality, rules, token_counts, tokens_out, urls
+from lawloom.llm import bpe, decontam, pii, quality, rules, token_counts, tokens_out, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.document_counts(table(spark, folder, "documents"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
