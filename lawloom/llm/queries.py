@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import bpe, decontam, pii, probminhash, quality, rules, token_counts, tokens_out, urls
+from lawloom.llm import bpe, decontam, lm_scoring, pii, probminhash, quality, rules, token_counts, tokens_out, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,8 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return probminhash.classes(table(spark, folder, "documents"))
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
