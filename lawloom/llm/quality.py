@@ -10,9 +10,9 @@ shapes (case, digits, marks, repeat of the word before), each hashed to a bucket
 Weights are means over a document's features, scaled to `effective` features: long documents do not
 outweigh short ones just by being long.
 
-The target model is fitted on a bounded sample: the `fit_rows` labelled good rows whose hashed doc_id
-is least (a documented parameter, allowed for labelled rows only). The raw model counts every document.
-k is the number of documents whose log weight lies above the border that best parts the labelled good
+The target model is fitted on a bounded sample: of one half of the labelled good rows (the other half
+calibrates) the `fit_rows` whose hashed doc_id is least (a documented parameter, allowed for labelled rows only). The raw model counts every document.
+k is the number of documents whose log weight lies above the border that best parts the held-out good
 rows from the bad ones (a lost good row counts LOST_GOOD times). The k-th key is found by counting keys
 in ever narrower bins, so only bin counts reach the driver; ties at the border go to the least doc_id.
 
@@ -43,7 +43,7 @@ SHAPE_BUCKETS = SHAPES**3
 BUCKETS = WORD_BUCKETS + PAIR_BUCKETS + SHAPE_BUCKETS
 FIT_ROWS = 20_000
 EFFECTIVE = 100.0
-SMOOTHING = 1.0
+SMOOTHING = 5.0
 #: Keys are whole numbers of this fraction, so that they can be counted in exact bins.
 KEY_UNIT = 1e-6
 #: Log weights are binned this finely when the border is sought, and held within these limits.
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndar
     bound_batches(docs.sparkSession)
     good = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
+        .groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").where(FITTED).select("doc_id")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     # At most fit_rows ids of eight bytes.
@@ -147,11 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndar
     ratio = np.zeros(BUCKETS)
     cuts = np.cumsum([0, WORD_BUCKETS, PAIR_BUCKETS, SHAPE_BUCKETS])
     for a, b in zip(cuts[:-1], cuts[1:]):
-        # Both models are smoothed towards the raw one, in the same strength a bucket.
-        prior = (raw[a:b] + SMOOTHING) / (raw[a:b].sum() + SMOOTHING * (b - a))
-        strength = SMOOTHING * (b - a) / 100
-        p_target = (target[a:b] + strength * prior) / (target[a:b].sum() + strength)
-        ratio[a:b] = np.log(p_target) - np.log(prior)
+        # Raw counts are scaled to the target's total; both models then get the same added counts.
+        matched = raw[a:b] * (target[a:b].sum() / max(raw[a:b].sum(), 1))
+        ratio[a:b] = np.log(target[a:b] + SMOOTHING) - np.log(matched + SMOOTHING)
     return ratio
 
 
@@ -199,12 +197,16 @@ def kth(rows: DataFrame, column: str, k: int) -> tuple[int, int]:
     return low, left
 
 
+#: Half of the labelled rows fit the target model, the other half calibrate the border.
+FITTED = "pmod(xxhash64(doc_id, 3), 2) = 0"
+
+
 def border_of(scored: DataFrame, labels: DataFrame) -> float | None:
     """The log weight that parts good from bad labelled rows at least cost; None without labels."""
     bins = F.floor(F.least(F.greatest("log_weight", F.lit(-BORDER_LIMIT)), F.lit(BORDER_LIMIT)) / BORDER_STEP)
     counts = (
         scored.select("doc_id", "log_weight")
-        .join(labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
+        .join(labels.where("quality IS NOT NULL").where(f"NOT ({FITTED})").groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
         .groupBy("quality", bins.alias("bin")).count().collect()
     )
     if not counts:
