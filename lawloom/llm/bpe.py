@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from lawloom.llm.common import bound_batches, slices, strings
 from lawloom.llm.vocab import WORD_END, PieceCache, as_letters, default_path, pieces_of, simple_words
@@ -164,7 +165,8 @@ def encode_column(docs: DataFrame, path: str | None = None) -> DataFrame:
     """`docs` with its columns and `ids` (array of int) and `decoded` after them."""
     path = path or default_path()
     bound_batches(docs.sparkSession)
-    schema = docs.schema.add("ids", "array<int>").add("decoded", "string")
+    added = [StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
+    schema = StructType([*docs.schema, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
