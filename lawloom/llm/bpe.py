@@ -162,8 +162,9 @@ def codec(path: str) -> Codec:
 
 
 def encode_column(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """`docs` with its columns and `ids` (array of int) and `decoded` after them."""
+    """`docs` with its columns and `ids` (array of int) and `decoded` after them (columns of these names are replaced)."""
     path = path or default_path()
+    docs = docs.drop("ids", "decoded")
     bound_batches(docs.sparkSession)
     added = [StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
     schema = StructType([*docs.schema, *added])

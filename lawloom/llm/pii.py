@@ -250,11 +250,11 @@ def _text(spans):
 
 
 def propose(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Base spans and looser candidates of every row, written once; `_row` numbers the rows."""
+    """Base spans and looser candidates of every row; `_row` numbers the rows, `doc` holds the columns carried along."""
     bound_batches(docs.sparkSession)
-    numbered = docs.select(*carry, "text", F.monotonically_increasing_id().alias("_row"))
-    schema = StructType([*numbered.schema, StructField("_base", SPANS), StructField("_loose", CANDIDATES), StructField("_seen", ArrayType(StringType()))])
-    return numbered.mapInArrow(_propose, schema)
+    numbered = docs.select(F.struct(*carry).alias("doc"), "text", F.monotonically_increasing_id().alias("_row"))
+    found = [StructField("_base", SPANS), StructField("_loose", CANDIDATES), StructField("_seen", ArrayType(StringType()))]
+    return numbered.mapInArrow(_propose, StructType([*numbered.schema, *found]))
 
 
 def find(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -262,35 +262,36 @@ def find(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     rows = stage(propose(docs, ["doc_id"]).drop("text"), "pii")
     count = lambda k: F.size(F.filter("_base", lambda x: x["k"] == k)).cast("long")
     return all_spans(rows, fit_rows).select(
-        "doc_id",
+        "doc.doc_id",
         *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(_text(F.col("_base")), 256).alias("base_sha256"),
         _text(F.col("spans")).alias("spans"),
     )
 
 
-def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            if spans:
-                out, at = [], 0
-                for span in sorted(spans, key=lambda x: (x["s"], -x["e"])):
-                    if span["s"] >= at:
-                        out += [text[at : span["s"]], f"[{KINDS[span['k']].upper()}]"]
-                    at = max(at, span["e"])
-                text = "".join([*out, text[at:]])
-            texts.append(text)
-        names = [n for n in batch.schema.names if n != "spans"]
-        columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
-        yield pa.RecordBatch.from_arrays(columns, names)
+def _redacted(text: str | None, spans: list[dict]) -> str | None:
+    if not spans:
+        return text
+    out, at = [], 0
+    for span in sorted(spans, key=lambda x: (x["s"], -x["e"])):
+        if span["s"] >= at:
+            out += [text[at : span["s"]], f"[{KINDS[span['k']].upper()}]"]
+        at = max(at, span["e"])
+    return "".join([*out, text[at:]])
 
 
 def redact(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """`docs` with every span replaced by its kind in brackets, and n_chars, if there, set anew."""
-    carry = [c for c in docs.columns if c != "text"]
-    rows = stage(propose(docs, carry), "pii-texts")
-    out = all_spans(rows, fit_rows).select(*docs.columns, "spans").mapInArrow(_redact, docs.schema)
-    if "n_chars" in docs.columns:
+    names = docs.columns
+    rows = stage(propose(docs, [c for c in names if c != "text"] or ["text"]), "pii-texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = map(_redacted, batch.column("text").to_pylist(), batch.column("spans").to_pylist())
+            new, doc = pa.array(texts, pa.string()), batch.column("doc")
+            yield pa.RecordBatch.from_arrays([new if n == "text" else doc.field(n) for n in names], names)
+
+    out = all_spans(rows, fit_rows).select("doc", "text", "spans").mapInArrow(run, docs.schema)
+    if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -254,8 +254,8 @@ def _result(signed: DataFrame, members: DataFrame, sims: DataFrame, labels: Data
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` with one document of each class: the one whose doc_id names it. Rows without doc_id stay."""
-    lead = classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
+    lead = classes(docs).where("doc_id = class_id").select("doc_id").distinct()
     return (
-        docs.where("doc_id IS NOT NULL").join(lead, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+        docs.where("doc_id IS NOT NULL").join(lead, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         .unionByName(docs.where("doc_id IS NULL"))
     )

@@ -240,5 +240,5 @@ def score(
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The drawn rows of `docs`, with all their columns."""
-    chosen = score(docs, labels).where("selected").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    chosen = score(docs, labels).where("selected").select("doc_id").distinct()
+    return docs.alias("d").join(chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
