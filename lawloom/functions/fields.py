@@ -70,10 +70,6 @@ def nulls_as_text(record: Column, text: str = "None") -> Column:
     return F.transform_values(record, lambda _, v: F.coalesce(v, F.lit(text)))
 
 
-def drop_null_values(record: Column) -> Column:
-    return F.map_filter(record, lambda _, v: v.isNotNull())
-
-
 def printed_key(*parts: Column) -> Column:
     """Dash-joined key in which a missing part prints as `nan`."""
     return F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit("nan")) for p in parts])

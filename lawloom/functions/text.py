@@ -214,6 +214,14 @@ def child_names(xml: Column, depth: int = 1) -> Column:
     return F.transform(children(xml, depth), lambda c: c["name"])
 
 
+def is_malformed(xml: Column) -> Column:
+    """Not one well-formed document: cut short, or with tags that do not match. Nothing of it is decoded."""
+    corrupt = "_corrupt"
+    options = {"rowTag": "_any", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    parsed = F.from_xml(xml, F.lit(f"{corrupt} string"), options)
+    return xml.isNull() | parsed.isNull() | parsed[corrupt].isNotNull()
+
+
 def is_balanced(xml: Column) -> Column:
     """As many closing as opening tags."""
     return F.aggregate(tokens(xml), F.lit(0), lambda a, t: a + _change(_kind(t))) == 0

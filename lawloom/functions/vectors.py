@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + p)
-
-
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
@@ -23,7 +18,3 @@ def unit(v: Column) -> Column:
 
     held = F.transform(F.array(F.struct(v.alias("v"), norm(v).alias("n"))), scaled)
     return F.element_at(held, 1)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lawloom.constants import PASSAGE_FORMAT, PROMPT_FORMAT
+from lawloom.constants import PASSAGE_FORMAT
 
 
 def passage(number: Column, legis_id: Column, text: Column) -> Column:
@@ -30,7 +30,3 @@ def build_context(
     return packed.select(
         question, F.array_join(F.transform("xs", lambda x: x["p"]), "\n\n").alias("context"), F.size("xs").alias("n")
     )
-
-
-def prompt(context: Column, question: Column) -> Column:
-    return F.format_string(PROMPT_FORMAT, context, question)

@@ -19,6 +19,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lawloom.functions.vectors import unit
+
 # Task functions travel with the job, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -199,18 +201,17 @@ def nearest(
 
 def write_cells(
     corpus: DataFrame, path: str, n_cells: int, corpus_id: str = "vec_id", vec: str = "vec",
-    train_rows: int = 1_000_000, seed: int = 7,
+    cosine: bool = True, seed: int = 7,
 ) -> np.ndarray:
     """Write the corpus as a folder per cell of similar vectors; returns the cells' centres.
 
-    Centres are fitted on a sample, all rows are written. Ranges of (cell, id) spread a large cell
+    Centres are fitted on all rows; for cosine search, on unit vectors. Ranges of (cell, id) spread a large cell
     over many tasks and files.
     """
     rows = corpus.where(F.col(vec).isNotNull()).select(F.col(corpus_id).alias("neighbour_id"), F.col(vec).alias("vec"))
-    points = rows.withColumn("__v", array_to_vector(F.col("vec").cast("array<double>")))
-    total = rows.count()
-    train = points if total <= train_rows else points.sample(train_rows / total, seed=seed)
-    fitted = KMeans(k=n_cells, seed=seed, featuresCol="__v", predictionCol="cell").fit(train)
+    placed = F.col("vec").cast("array<double>")
+    points = rows.withColumn("__v", array_to_vector(unit(placed) if cosine else placed))
+    fitted = KMeans(k=n_cells, seed=seed, featuresCol="__v", predictionCol="cell").fit(points)
     (
         fitted.transform(points)
         .drop("__v")
@@ -248,7 +249,10 @@ def nearest_in_cells(
     out = _result(asked, stored)
     if not len(held[0]):
         return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
-    away = ((held[1][:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    asking = held[1]
+    if cosine:
+        asking = asking / np.maximum(np.linalg.norm(asking, axis=1, keepdims=True), 1e-300)
+    away = ((asking[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
     near = np.argsort(away, axis=1, kind="stable")[:, :probes]
     wanted = np.zeros(away.shape, dtype=bool)
     np.put_along_axis(wanted, near, True, axis=1)

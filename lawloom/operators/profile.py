@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from lawloom.functions.text import child_names
 
 
-def tag_counts(df: DataFrame, xml: str, depth: int = 2) -> DataFrame:
-    """How often each tag occurs among elements whose parent lies at `depth`."""
-    tags = df.select(F.explode(child_names(F.col(xml), depth)).alias("tag"))
+def tag_counts(df: DataFrame, xml: str, parent: str) -> DataFrame:
+    """How often each tag occurs among the children of the element named `parent`."""
+    element = F.regexp_extract(xml, rf"(?s)<{parent}(?:\s[^>]*)?>.*</{parent}\s*>", 0)
+    tags = df.select(F.explode(child_names(element)).alias("tag"))
     return tags.groupBy("tag").agg(F.count("*").alias("n"))
 
 

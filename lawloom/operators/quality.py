@@ -17,11 +17,6 @@ def key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def approximate_key_report(df: DataFrame, key: str, error: float = 0.01) -> DataFrame:
-    """Row count and estimated distinct keys, without a shuffle of the keys."""
-    return df.agg(F.count("*").alias("n_rows"), F.approx_count_distinct(key, error).alias("n_keys"))
-
-
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Fail when a key occurs twice."""
     report = key_report(df, keys).first()

@@ -159,13 +159,27 @@ def q_root_tag_profile(spark, d):
 
 @query(
     "q_tag_counts",
-    f"""SELECT tag, n FROM (
-          SELECT 'section' AS tag, CAST(sum(len({_LINES})) AS BIGINT) AS n FROM documents
-          UNION ALL SELECT 'dc', count(*) FROM documents WHERE lang = 'en'
-          UNION ALL SELECT 'congress', count(*) FROM documents UNION ALL SELECT 'session', count(*) FROM documents) WHERE n > 0""",
+    """SELECT unnest(['number', 'type', 'updateDate', 'originChamber', 'introducedDate', 'congress', 'title', 'actions', 'textVersions',
+         'latestAction']) AS tag, count(*) AS n FROM documents GROUP BY 1""",
 )
 def q_tag_counts(spark, d):
-    return profile.tag_counts(I.text_documents(I.wide(spark, d, "documents")), "tv_xml", depth=2)
+    return profile.tag_counts(I.status_documents(I.wide(spark, d, "documents")), "bs_xml", "bill")
+
+
+@query(
+    "q_text_quarantine",
+    """SELECT doc_id, CASE WHEN doc_id % 4 IN (1, 2, 3) THEN true ELSE false END AS is_malformed FROM documents""",
+)
+def q_text_quarantine(spark, d):
+    xml, kind = F.col("tv_xml"), F.col("doc_id") % 4
+    damaged = (
+        F.when(kind == 1, F.substring(xml, F.lit(1), F.length(xml) - 12))
+        .when(kind == 2, F.replace(xml, F.lit("</legis-body>"), F.lit("</legis-boody>")))
+        .when(kind == 3, F.replace(xml, F.lit("</form>"), F.lit("")))
+        .otherwise(xml)
+    )
+    docs = I.text_documents(I.wide(spark, d, "documents"))
+    return docs.select("doc_id", X.is_malformed(damaged).alias("is_malformed"))
 
 
 @query(
@@ -224,7 +238,7 @@ def q_text_root_children(spark, d):
     "q_chunk_docs",
     """SELECT legis_id || '-0' AS tv_id, legis_id, congress_num, legis_type, legis_num, '2024-01-01' AS text_date, list_extract(ls, 1) AS text FROM (
          SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS legis_id, conv_id AS congress_num, role AS legis_type, turn AS legis_num,
-           list_filter(string_split(text, chr(10)), lambda x: length(x) >= 80) AS ls FROM conversations) WHERE len(ls) > 0""",
+           list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM conversations) WHERE len(ls) > 0""",
 )
 def q_chunk_docs(spark, d):
     docs = chunking.chunk_documents(I.turn_bills(T(spark, d, "conversations")))

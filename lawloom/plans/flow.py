@@ -18,7 +18,7 @@ from lawloom.sources.sinks import chunk_tag, export_by
 from lawloom.sources.xmltree import read_status, read_texts, status_rows, text_rows as tree_text_rows
 from lawloom.streaming.ingest import BATCH, xml_arrivals
 from lawloom.constants import LASTMOD_SUFFIX, PASSAGES_PER_QUESTION
-from lawloom.session import spread
+from lawloom.session import cut_lineage
 
 BILL_ORDER = ("legis_type", "legis_num")
 
@@ -103,8 +103,8 @@ def write_texts(spark: SparkSession, tables: str, out: str) -> None:
 
 
 def write_chunks(spark: SparkSession, tables: str, out: str, settings: Sequence[tuple[int, int]]) -> None:
-    """Chunk tables for several (size, overlap) settings."""
-    docs = spread(chunk_documents(first_versions(spark, tables)))
+    """Chunk tables for several (size, overlap) settings, all from documents that are put together once."""
+    docs = cut_lineage(chunk_documents(first_versions(spark, tables)))
     for size, overlap in settings:
         chunks = chunk_table(docs, size, overlap).withColumn("congress_num", F.col("metadata.congress_num"))
         export_by(chunks, f"{out}/{chunk_tag(size, overlap)}", ("chunk_id",))

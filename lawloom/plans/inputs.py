@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawloom.functions.keys import dashed
-from lawloom.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,7 +13,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def wide(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table for work that is heavy per row."""
-    return spread(table(spark, folder, name))
+    return table(spark, folder, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def _escaped(text: Column) -> Column:
@@ -130,7 +129,7 @@ def text_documents(documents: DataFrame) -> DataFrame:
 
 
 def turn_bills(conversations: DataFrame) -> DataFrame:
-    """Turns as bills whose versions are the longer lines of their text; some have none."""
+    """Turns as bills whose versions are the lines of their text; a turn without text has none."""
     key = dashed(F.col("conv_id"), F.col("turn"))
 
     def version(x: Column, i: Column) -> Column:
@@ -142,13 +141,12 @@ def turn_bills(conversations: DataFrame) -> DataFrame:
             x.alias("tv_txt"),
         )
 
-    long_lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 80)
     return conversations.select(
         key.alias("legis_id"),
         F.col("conv_id").alias("congress_num"),
         F.col("role").alias("legis_type"),
         F.col("turn").alias("legis_num"),
-        F.transform(long_lines, version).alias("tvs"),
+        F.transform(lines(F.col("text")), version).alias("tvs"),
     )
 
 

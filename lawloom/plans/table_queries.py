@@ -311,12 +311,12 @@ _MATCHED = """
     WHERE legis_id IN (SELECT bill FROM listed))"""
 
 
-def _unified_rows(unified, per_row: int):
-    rows = unified.select("legis_id", "congress_num", "part", F.posexplode("tvs").alias("i", "tv"))
+def _unified_rows(unified):
+    rows = unified.select("legis_id", "congress_num", F.posexplode("tvs").alias("i", "tv"))
     return rows.select(
         "legis_id",
         "congress_num",
-        (F.col("part") * per_row + F.col("i")).cast("bigint").alias("pos"),
+        F.col("i").cast("bigint").alias("pos"),
         F.col("tv.tv_id").alias("tv_id"),
         _spark_stamp("tv.lastmod").alias("lastmod"),
         F.col("tv.bs_tv.url").alias("url"),
@@ -332,7 +332,7 @@ def _unified_rows(unified, per_row: int):
 )
 def q_unified(spark, d):
     bills, texts = I.order_bills(I.wide(spark, d, "orders")), I.lineitem_texts(I.wide(spark, d, "lineitem"))
-    return _unified_rows(unify.unify(bills, texts, "text_versions"), unify.VERSIONS_PER_ROW)
+    return _unified_rows(unify.unify(bills, texts, "text_versions"))
 
 
 @query(
@@ -342,8 +342,8 @@ def q_unified(spark, d):
 )
 def q_unified_with_text(spark, d):
     bills, texts = I.order_bills(I.wide(spark, d, "orders")), I.lineitem_texts(I.wide(spark, d, "lineitem"))
-    unified = unify.unify(bills, texts, "text_versions", text_columns=("tv_txt",), versions_per_row=2)
-    return _unified_rows(unified, 2).withColumn("tv_txt", F.trim(F.replace("tv_txt", F.lit("\n"), F.lit(" "))))
+    unified = unify.unify(bills, texts, "text_versions", text_columns=("tv_txt",))
+    return _unified_rows(unified).withColumn("tv_txt", F.trim(F.replace("tv_txt", F.lit("\n"), F.lit(" "))))
 
 
 @query(
@@ -510,7 +510,7 @@ def q_rows_per_split(spark, d):
     return quality.rows_per(T(spark, d, "events"), "event_type")
 
 
-_NO_LONG_LINE = "len(list_filter(string_split(text, chr(10)), lambda x: length(x) >= 80))"
+_NO_LONG_LINE = "len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))"
 
 
 @query("q_skipped_count", f"SELECT count(*) FILTER (WHERE {_NO_LONG_LINE} = 0) AS n_skipped FROM conversations")

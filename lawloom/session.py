@@ -27,19 +27,6 @@ def build_session(app_name: str = "lawloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-SPREAD_BELOW_BYTES = 1 << 30
-
-
-def spread(df):
-    """Hand a small input to all cores before work that is heavy per row; leave a large one as read.
-
-    A small file often is one row group, hence one task. Above the limit the scan has tasks enough,
-    and moving the rows would cost more than it gives.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SPREAD_BELOW_BYTES else df
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's checkpoint setting.
 

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawloom.operators.numbering import number_rows
 
-SHALLOW_PAGE_END = 10_000
-
 
 def read_stage(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A stage's parquet data; name columns to read only those."""
@@ -44,16 +43,17 @@ def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
 def page_rows(df: DataFrame, order: Sequence[str], offset: int, length: int, max_length: int = 100) -> DataFrame:
     """Rows `offset` to `offset + length` in key order.
 
-    `order` ends in a unique key. A page near the start is a bounded top-n. For a deep page only the
-    order columns are numbered, by ranges, so that no task holds all rows before the page; the page's
-    keys, at most `max_length`, then fetch their rows.
+    `order` ends in a unique key. Only the order columns are numbered, by ranges, so that no task holds
+    all rows before the page; the page's keys, at most `max_length`, then fetch their rows. Nulls come
+    first, as any other key.
     """
-    length = min(length, max_length)
-    if offset + length <= SHALLOW_PAGE_END:
-        return df.orderBy(*order).offset(offset).limit(length)
+    if length > max_length:
+        raise ValueError(f"a page has at most {max_length} rows; {length} were asked for")
     numbered = number_rows(df.select(*order), [F.col(c) for c in order], name="__row")
     page = numbered.where(F.col("__row").between(offset, offset + length - 1)).drop("__row")
-    return df.join(F.broadcast(page), list(order), "left_semi").orderBy(*order).limit(length)
+    keys = page.toDF(*[f"__{c}" for c in order])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order])
+    return df.join(F.broadcast(keys), same, "left_semi").orderBy(*order).limit(length)
 
 
 def list_splits(df: DataFrame, column: str = "congress_num") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawloom.constants import LASTMOD_SUFFIX, STATUS_FILE_NAME
 from lawloom.functions import keys as K
-from lawloom.functions.text import bill_text, strip_spaces
+from lawloom.functions.text import is_malformed, bill_text, strip_spaces
 from lawloom.operators.decode import decode_status, root_violation
 
 
@@ -129,7 +129,9 @@ def text_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
         "violations",
         F.array_compact(
             F.array(
-                F.when(F.col("lastmod").isNull(), F.lit("lastmod:missing")), root_violation(F.col("root_tag"))
+                F.when(F.col("lastmod").isNull(), F.lit("lastmod:missing")),
+                root_violation(F.col("root_tag")),
+                F.when(is_malformed(F.col("tv_xml")), F.lit("text:malformed")),
             )
         ),
     )

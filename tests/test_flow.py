@@ -4,7 +4,9 @@ import datetime
 
 import pytest
 from lawloom.operators import unify as U
+from lawloom.operators.chunking import chunk_documents
 from lawloom.operators.embed import embed_hashing
+from lawloom.operators.splits import text_rows
 from lawloom.plans import flow
 from lawloom.sources.xmltree import text_files, unmatched_names
 from pyspark.sql import functions as F
@@ -74,14 +76,14 @@ def test_unified_traps(spark, landed):
     assert [t["tv_id"] for t in rows["117-hr-2"]] == ["117-hr-2-eh-dtd", "117-hr-2-ih-dtd"]
 
 
-def test_unified_in_parts_and_by_ranges_is_the_same(spark, landed):
+def test_one_row_per_bill_for_every_consumer(spark, landed):
     _, out = landed
-    whole = {r["legis_id"]: [t["tv_id"] for t in r["tvs"]] for r in unified(spark, out).collect()}
-    parts = {}
-    for r in unified(spark, out, versions_per_row=1, hot_rows=1).orderBy("legis_id", "part").collect():
-        assert len(r["tvs"]) == 1
-        parts.setdefault(r["legis_id"], []).append(r["tvs"][0]["tv_id"])
-    assert parts == whole
+    rows = unified(spark, out)
+    bills = rows.count()
+    assert rows.select("legis_id").distinct().count() == bills
+    assert rows.agg(F.max(F.size("tvs"))).first()[0] == 3
+    assert text_rows(rows).count() == bills
+    assert chunk_documents(rows).select("legis_id").distinct().count() == chunk_documents(rows).count()
 
 
 def test_newest_version_is_first_of_unified(spark, landed):

@@ -12,21 +12,23 @@ def skewed(spark):
     return spark.range(3000).select(key.alias("k"), F.xxhash64("id").alias("v"), "id")
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
-def test_numbers_within_keys(skewed, hot_rows):
+def test_numbers_within_keys(skewed):
     order = [F.col("v").desc(), F.col("id")]
-    got = N.number_within(skewed, ["k"], order, name="n", hot_rows=hot_rows)
+    got = N.number_within(skewed, ["k"], order, name="n")
     want = skewed.withColumn("n", (F.row_number().over(Window.partitionBy("k").orderBy(*order)) - 1).cast("bigint"))
     assert got.exceptAll(want.select(got.columns)).count() == 0
     assert got.count() == 3000
 
 
-def test_hot_key_is_spread_over_tasks(skewed):
-    rows = N.number_rows(skewed, [F.col("v")], ["k"])
-    spread = rows.withColumn("p", F.spark_partition_id()).where("k = 'hot'").groupBy("p").count()
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
-    assert spread.count() >= 1 and rows.agg(F.max("row_num")).first()[0] == 999
+def test_hot_key_stays_spread_after_numbering(spark):
+    """A key with two thirds of the rows lies in several partitions of the numbered table."""
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    numbered = N.number_within(rows, ["k"], [F.col("id")], name="n")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "SortMergeJoin" not in plan
+    spread = numbered.withColumn("p", F.spark_partition_id()).where("k = 'hot'").groupBy("p").count().collect()
+    assert len(spread) > 2 and max(r["count"] for r in spread) < 15_000
+    assert numbered.where("k = 'hot'").agg(F.max("n"), F.countDistinct("n")).first() == (19_999, 20_000)
 
 
 def test_global_numbers_and_batches(skewed):
@@ -37,12 +39,16 @@ def test_global_numbers_and_batches(skewed):
 
 
 def test_empty(skewed):
-    assert N.number_rows(skewed.limit(0), [F.col("id")], ["k"]).count() == 0
+    assert N.number_within(skewed.limit(0), ["k"], [F.col("id")]).count() == 0
 
 
 def test_deep_page(spark):
     df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("id"))
-    assert [r[0] for r in page_rows(df, ["id"], 15_000, 500).collect()] == list(range(15_000, 15_100))
+    assert [r[0] for r in page_rows(df, ["id"], 15_000, 100).collect()] == list(range(15_000, 15_100))
+    with pytest.raises(ValueError):
+        page_rows(df, ["id"], 15_000, 500)
+    holes = df.select(F.when(F.col("id") >= 100, F.col("id")).alias("id"))
+    assert [r[0] for r in page_rows(holes, ["id"], 90, 12).collect()] == [None] * 12
     assert [r[0] for r in page_rows(df, ["id"], 30, 5).collect()] == [30, 31, 32, 33, 34]
 
 

@@ -66,3 +66,14 @@ def test_many_children_stay_linear(spark):
     seconds(1000)
     small, large = seconds(10_000), seconds(40_000)
     assert large < 9 * small + 2
+
+
+def test_broken_documents_are_named(spark):
+    texts = {
+        "cut": "<bill><form>keep</form><legis-body><section>lost text",
+        "mistagged": "<bill><form>keep</form><legis-body>b</legis-boody></bill>",
+        "good": '<?xml version="1.0"?>\n<!DOCTYPE bill PUBLIC "x" "bill.dtd">\n<bill a="1"><form>k &amp; l</form><x/></bill>',
+    }
+    df = spark.createDataFrame(list(texts.items()), "name string, xml string")
+    got = {r["name"]: r["bad"] for r in df.select("name", X.is_malformed(F.col("xml")).alias("bad")).collect()}
+    assert got == {"cut": True, "mistagged": True, "good": False}
