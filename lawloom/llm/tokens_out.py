@@ -11,8 +11,8 @@ Files hold consecutive ranges of documents. A task attempt writes files of its o
 them; only reported files belong to the result, so a lost executor or a repeated task leaves no double
 rows. Position of a file in the whole (ids before it) follows from the files' counts.
 
-Null and empty texts have only the end id. Rows of one doc_id stay together, in the order of their
-texts. Null doc_ids come first. Further columns are ignored. No documents: no files, an empty result.
+Null and empty texts have only the end id. Rows of one doc_id stay together, in the order of a
+hash of their texts. Null doc_ids come first. Further columns are ignored. No documents: no files, an empty result.
 A document longer than a file's share makes a longer file; ids are written batch by batch.
 """
 
@@ -94,7 +94,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, length: int = L
     bound_batches(spark)
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     files = max(1, spark.sparkContext.defaultParallelism, -(-size // FILE_CHARS))
-    order = ("doc_id", "text")
+    # Range bounds come from sampled keys, so no text is among the keys.
+    order = ("doc_id", "turn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, out, ids_of, ends, total = encoder(path), None, [], [], 0
@@ -120,8 +121,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, length: int = L
              "n_docs": pa.array([len(ends)], pa.int64()), "n_tokens": pa.array([total], pa.int64())}
         )
 
-    dealt = docs.select("doc_id", "text").repartitionByRange(files, *order).sortWithinPartitions(*order)
-    written = dealt.withColumn("part", F.spark_partition_id()).mapInArrow(
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("turn")).repartitionByRange(files, *order).sortWithinPartitions(*order)
+    written = dealt.drop("turn").withColumn("part", F.spark_partition_id()).mapInArrow(
         run, "file string, index string, part int, n_docs long, n_tokens long"
     )
     return stage(written, "token-files")
