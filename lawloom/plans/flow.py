@@ -16,7 +16,7 @@ from lawloom.operators.unify import newest_version, unify
 from lawloom.operators.upsert import latest_rows, upsert_folder
 from lawloom.sources.sinks import chunk_tag, export_by
 from lawloom.sources.xmltree import read_status, read_texts, status_rows, text_rows as tree_text_rows
-from lawloom.streaming.ingest import BATCH, xml_arrivals
+from lawloom.streaming.ingest import BATCH, list_files, read_ledger, read_paths, stem_of
 from lawloom.constants import LASTMOD_SUFFIX, PASSAGES_PER_QUESTION
 from lawloom.session import cut_lineage
 
@@ -40,26 +40,40 @@ STREAMS = (
 )
 
 
+#: Files named to one reader call; more changed files are read as further batches.
+FILES_PER_BATCH = 20_000
+
+
 def ingest_arrivals(spark: SparkSession, root: str, out: str, state: str) -> None:
-    """Land what has arrived in the tree since the last run, as one or more batches of a log.
+    """Land what is new or changed in the tree since the last run, as batches of a log.
 
-    A batch written again after a failure replaces its own folder.
+    A ledger holds path and modification time of every file landed. A file whose time differs is read
+    again together with the other file of its stem, so an XML file rewritten in place and a side file
+    that comes late both count. A batch is written before its ledger entries: after a failure the next
+    run makes the same batch again and replaces its folder.
     """
     for name, glob, make, _ in STREAMS:
-        def write(batch: DataFrame, batch_id: int, name=name, make=make) -> None:
+        ledger = f"{state}/{name}"
+        files = list_files(spark, root, glob)
+        known = read_ledger(spark, ledger)
+        fresh = files.join(known, ["path", "changed"], "left_anti")
+        stem = stem_of(F.col("path"))
+        # File names only, as Spark's own file index holds them on the driver.
+        changed = files.join(fresh.select(stem.alias("stem")).distinct(), stem == F.col("stem"), "left_semi")
+        arrived_files = changed.orderBy(stem, "path").collect()
+        batch_id = (known.agg(F.max(BATCH)).first()[0] or 0) + 1
+        for at in range(0, len(arrived_files), FILES_PER_BATCH):
+            # A stem's two files are read in one batch, also where a batch begins between them.
+            some = arrived_files[at : at + FILES_PER_BATCH]
+            whole = [f["path"] for f in arrived_files[max(0, at - 1) : at + FILES_PER_BATCH + 1]]
+            read = read_paths(spark, whole)
             side = F.endswith(F.col("path"), F.lit(LASTMOD_SUFFIX))
             xml = F.endswith(F.col("path"), F.lit(".xml"))
-            rows = _with_state(make(batch.where(xml), batch.where(side), root))
+            rows = _with_state(make(read.where(xml), read.where(side), root))
             rows.write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}/{BATCH}={batch_id}")
-
-        query = (
-            xml_arrivals(spark, root, glob)
-            .writeStream.foreachBatch(write)
-            .option("checkpointLocation", f"{state}/{name}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+            landed = spark.createDataFrame([(f["path"], f["changed"]) for f in some], "path string, changed timestamp")
+            landed.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/{BATCH}={batch_id}")
+            batch_id += 1
 
 
 def ingested(spark: SparkSession, out: str, name: str) -> DataFrame:

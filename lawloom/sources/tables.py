@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawloom.operators.numbering import number_rows
@@ -16,6 +17,17 @@ def read_stage(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds a folder; any other failure to read it is raised."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def select_splits(df: DataFrame, splits: Sequence, column: str = "congress_num") -> DataFrame:
     """Rows of the named splits; on a table partitioned by `column` other splits are not read."""
     return df.where(F.col(column).isin(*splits))

@@ -7,12 +7,15 @@ rewrites the table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from lawloom.constants import LASTMOD_SUFFIX
 from lawloom.operators.upsert import latest_rows
+from lawloom.sources.tables import folder_exists
 
 BATCH = "ingest_batch"
 
@@ -74,3 +77,27 @@ def xml_arrivals(spark: SparkSession, root: str, glob: str) -> DataFrame:
     )
     raw_path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     return files.select(F.url_decode(raw_path).alias("path"), F.col("value").alias("body"))
+
+
+def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """(path, changed) of the files below a folder; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    return files.select("path", F.col("modificationTime").alias("changed"))
+
+
+def stem_of(path: Column) -> Column:
+    """What a file and its side file have in common: folder, and name up to the first dot or the side file's suffix."""
+    return F.regexp_replace(path, rf"({re.escape(LASTMOD_SUFFIX)}|\.[^/]*)$", "")
+
+
+def read_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Named files, whole: (path, body)."""
+    files = spark.read.text(list(paths), wholetext=True)
+    raw_path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return files.select(F.url_decode(raw_path).alias("path"), F.col("value").alias("body"))
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Files landed so far: path, changed, batch."""
+    schema = f"path string, changed timestamp, {BATCH} long"
+    return spark.read.schema(schema).parquet(path) if folder_exists(spark, path) else spark.createDataFrame([], schema)

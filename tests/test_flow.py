@@ -1,6 +1,8 @@
 """The whole document flow over a hand-written tree."""
 
 import datetime
+import pathlib
+import time
 
 import pytest
 from lawloom.operators import unify as U
@@ -166,3 +168,23 @@ def test_arrivals_equal_the_whole_tree(spark, tmp_path):
         got = flow.ingested(spark, out, name).select(whole.columns)
         assert {tuple(map(str, r)) for r in got.collect()} == {tuple(map(str, r)) for r in whole.collect()}
         assert got.where(f"{key} like '117-hr-20%'").count() == 1
+
+
+def test_changed_and_late_files_are_read_again(spark, tmp_path):
+    root, out, state = build(tmp_path / "tree"), str(tmp_path / "log"), str(tmp_path / "state")
+    put_status(root, 30, status(30), lastmod="2024-01-01T00:00:00Z")
+    put_status(root, 31, status(31))
+    side = next(p for p in pathlib.Path(root).rglob("*lastmod.txt") if "31" in str(p))
+    late = side.read_text()
+    side.unlink()
+    flow.ingest_arrivals(spark, root, out, state)
+    assert flow.ingested(spark, out, "billstatus").where("legis_id = '117-hr-31'").count() == 0
+    batches = len(list((tmp_path / "log/billstatus").glob("ingest_batch=*")))
+    flow.ingest_arrivals(spark, root, out, state)  # nothing is new: no batch
+    assert len(list((tmp_path / "log/billstatus").glob("ingest_batch=*"))) == batches
+    time.sleep(0.05)
+    put_status(root, 30, status(30).replace("Bill 30", "Changed"), lastmod="2025-01-01T00:00:00Z")
+    side.write_text(late)
+    flow.ingest_arrivals(spark, root, out, state)
+    titles = {r["legis_id"]: r["title"] for r in flow.ingested(spark, out, "billstatus").select("legis_id", "bs.title").collect()}
+    assert titles["117-hr-30"] == "Changed" and "117-hr-31" in titles
