@@ -7,15 +7,16 @@ later than all registers. Two texts agree in a register with the probability Jac
 (for texts without repeated shingles, the plain Jaccard).
 
 Texts with equal word sequences are one class from the start; only the least doc_id of a class takes
-part further. Bands of registers deal texts into buckets. A bucket is never expanded into all its pairs
-at once: its texts are compared with two pivots, texts that became connected need no more comparison,
-and only buckets that still hold several components get further pivots, one for each component, the
-first few in one round, more in the next. A comparison near the border (NEAR to LEAST) makes the
-members of the two components in that bucket meet too. All compared pairs are verified on the whole
-texts; links (LEAST and above) are connected, and every document gets the least doc_id of its component.
+part further. Bands of registers deal texts into buckets. A bucket is never expanded into all its pairs:
+its texts are compared with two pivots of it. Texts that became connected need no more comparison;
+where the texts of a bucket are still in several components, the bucket is parted by a second band, and
+again each part's texts meet its two pivots, for DEPTH second bands in turn. So the number of comparisons
+stays in proportion to the texts, and parts of a hot bucket shrink to texts that are very much alike. All
+compared pairs are verified on the whole texts; links (LEAST and above) are connected, and every document
+gets the least doc_id of its component.
 
 With 32 bands of 6 registers a pair of similarity 0.8 shares no bucket with probability 6e-5, one of
-0.85 with 3e-7. Null texts are empty. Texts without words are equal when they are the same string; texts
+0.85 with 3e-7; with the 128 pairs of bands it shares no part with 1e-4 and 3e-9. Null texts are empty. Texts without words are equal when they are the same string; texts
 of one to four words are one shingle. Rows of one doc_id count as one document: equal texts fall
 together, of different ones each gets its class. Rows without doc_id get a null class. Other columns are ignored.
 """
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lawloom.llm.common import bound_batches, mix, slices, stage, strings, unit
@@ -36,11 +37,10 @@ from lawloom.llm.words import hashed_words, ngrams
 
 SHINGLE = 5
 LEAST = 0.8
-NEAR = 0.6
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-#: Pivots of a bucket in the first further round; each later round takes this many times more.
-PIVOTS = 16
+#: Second bands by which buckets with several components are parted, one after another.
+DEPTH = 4
 #: Bits of a shingle's hash that are kept (the rest holds the text's number in a batch).
 SHINGLE_BITS = 44
 
@@ -166,7 +166,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of linked nodes: the least node of the component. Labels travel along links and jump."""
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    edges = stage(both.union(both.select("other", "node")).distinct(), "near-edges")
+    edges = stage(both.union(both.select("other", "node")), "near-edges")
     labels = stage(edges.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("label")), "near-labels")
     while True:
         heard = edges.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("heard"))
@@ -193,48 +193,48 @@ def classes(docs: DataFrame) -> DataFrame:
     # A doc_id that has several texts may lead several classes of equal texts: they are one node.
     leaders = kept.join(members, "name").where("doc_id = node").select("node", "bands").distinct()
     rows = leaders.select("node", F.explode("bands").alias("bucket"))
-    turn = F.struct(F.xxhash64("node", F.lit(5)).alias("h"), "node")
-    pivots = rows.groupBy("bucket").agg(
-        F.min("node").alias("p"), F.min(turn)["node"].alias("q"), F.max("node").alias("_max")
-    ).where("p <> _max").select("bucket", "p", "q")
-    shared = stage(rows.join(pivots, "bucket"), "near-buckets")
-    first = shared.select(F.explode(F.array("p", "q")).alias("p"), "node").where("p <> node").select(
-        F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")
-    ).distinct()
-    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
+    crowded = rows.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
+    wanted = rows.join(crowded.select("bucket"), "bucket", "left_semi").select("node").distinct()
+    # From here on: texts that share a bucket with another one.
+    nodes = stage(leaders.join(wanted, "node", "left_semi"), "near-nodes")
+    wanted = nodes.select(F.col("node").alias("doc_id")).distinct()
     texts = stage(docs.where("doc_id IS NOT NULL").select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "near-texts")
-    sims = verify(stage(first, "near-pairs"), texts)
-    labels = components(sims.where(F.col("sim") >= LEAST))
-    low, high = 0, PIVOTS
-    while True:
-        placed = (
-            shared.select("bucket", "node").join(labels, "node", "left")
-            .select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    labels = nodes.select("node", F.col("node").alias("label")).distinct()
+    sims = spark.createDataFrame([], "a long, b long, sim double")
+    for depth in range(DEPTH + 1):
+        second = F.get("bands", F.pmod(F.col("i") + depth, F.lit(BANDS)))
+        dealt = nodes.join(labels, "node").select("node", "label", "bands", F.posexplode("bands").alias("i", "bucket"))
+        if depth:
+            dealt = dealt.withColumn("bucket", F.xxhash64("i", "bucket", second))
+        dealt = dealt.select("bucket", "node", "label")
+        turn = F.struct(F.xxhash64("node", F.lit(5)).alias("h"), "node", "label")
+        mixed = (
+            dealt.groupBy("bucket")
+            .agg(F.min(F.struct("node", "label")).alias("p"), F.min(turn).alias("q"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+            .where("_low <> _high").select("bucket", F.array("p", F.struct("q.node", "q.label")).alias("pivots"))
         )
-        mixed = placed.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
-        placed = stage(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "near-mixed")
-        leads = placed.groupBy("bucket", "label").agg(F.min("node").alias("lead"))
-        ranked = leads.withColumn("_rank", F.row_number().over(Window.partitionBy("bucket").orderBy("lead")))
-        now = stage(ranked.where((F.col("_rank") > low) & (F.col("_rank") <= high)), "near-leads")
-        if now.isEmpty():
-            return _result(signed, members, sims, labels)
-        met = now.select("bucket", F.col("label").alias("own"), "lead").join(placed, "bucket").where("own <> label")
-        sims, fresh = _further(met.select(F.col("lead").alias("x"), F.col("node").alias("y")), sims, texts)
-        # Near the border: the other members of the lead's component in that bucket meet the text as well.
-        near = fresh.where((F.col("sim") >= NEAR) & (F.col("sim") < LEAST)).select("a", "b")
-        near = near.union(near.select("b", "a")).toDF("lead", "node")
-        closer = met.join(near, ["lead", "node"]).select("bucket", "own", F.col("node").alias("y")).distinct()
-        closer = closer.join(placed.select("bucket", F.col("label").alias("own"), F.col("node").alias("x")), ["bucket", "own"])
-        sims, _ = _further(closer.select("x", "y"), sims, texts)
-        labels = components(sims.where(F.col("sim") >= LEAST))
-        low, high = high, high * PIVOTS
-
-
-def _further(pairs: DataFrame, sims: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Verify the pairs not yet compared: all similarities so far, and the new ones."""
-    pairs = pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    fresh = verify(stage(pairs.join(sims, ["a", "b"], "left_anti"), "near-pairs"), texts)
-    return sims.union(fresh), fresh
+        met = dealt.join(mixed, "bucket").select("node", "label", F.explode("pivots").alias("p")).where("label <> p.label")
+        pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+        if depth:
+            pairs = pairs.join(sims, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "near-pairs")
+        if depth and pairs.isEmpty():
+            continue
+        fresh = verify(pairs, texts)
+        sims = sims.union(fresh) if depth else fresh
+        labels = merged(labels, fresh.where(F.col("sim") >= LEAST))
+    return _result(signed, members, sims, labels)
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after components were joined by further links."""
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}")), end)
+    across = stage(links.where("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), "near-across")
+    if across.isEmpty():
+        return labels
+    joined = components(across).select(F.col("node").alias("label"), F.col("label").alias("_new"))
+    return stage(labels.join(joined, "label", "left").select("node", F.coalesce("_new", "label").alias("label")), "near-labels")
 
 
 def _result(signed: DataFrame, members: DataFrame, sims: DataFrame, labels: DataFrame) -> DataFrame:

@@ -66,8 +66,7 @@ def brute_classes(rows):
     return {i: find(i) for i in parent}
 
 
-def test_classes_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(probminhash, "PIVOTS", 2)
+def test_classes_equal_brute_force(spark):
     rng = random.Random(6)
     vocabulary = [f"v{i}" for i in range(300)]
     base = [[rng.choice(vocabulary) for _ in range(rng.choice([3, 6, 40, 90]))] for _ in range(12)]
