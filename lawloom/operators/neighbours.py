@@ -223,6 +223,41 @@ def write_cells(
     return np.array(fitted.clusterCenters())
 
 
+def nearest_centres(vecs: np.ndarray, centres: np.ndarray, probes: int, cosine: bool) -> np.ndarray:
+    """The `probes` nearest centres of each vector."""
+    vecs = _unit_rows(vecs) if cosine else vecs
+    away = (centres**2).sum(axis=1)[None, :] - 2 * vecs @ centres.T
+    return np.argsort(away, axis=1, kind="stable")[:, :probes]
+
+
+def _by_cell(asked: DataFrame, stored: DataFrame, centres: np.ndarray, out: T.StructType, k: int, probes: int,
+             cosine: bool, skip_self: bool) -> DataFrame:
+    """Search in cells for any number of queries."""
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                near = nearest_centres(np.stack(frame["vec"].to_numpy()).astype(np.float64), centres, probes, cosine)
+                yield frame.assign(cell=list(near.astype(np.int32))).explode("cell").astype({"cell": "int32"})
+
+    left = asked.mapInPandas(deal, T.StructType([*asked.schema, T.StructField("cell", T.IntegerType())]))
+    right = stored.select("neighbour_id", "vec", F.col("cell").cast("int").alias("cell"))
+
+    def parts(df: DataFrame, most: int) -> list[int]:
+        sizes = dict(map(tuple, df.groupBy("cell").count().collect()))  # at most one row per cell
+        return [max(1, -(-sizes.get(c, 0) // (most // 2))) for c in range(len(centres))]
+
+    def spread_over(df: DataFrame, own: str, n_own: list[int], other: str, n_other: list[int], key: str) -> DataFrame:
+        number = lambda n: F.get(F.array(*map(F.lit, n)), F.col("cell"))
+        return df.withColumn(own, F.pmod(F.xxhash64(key), number(n_own)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), number(n_other) - 1))
+        )
+
+    blocks, slices = parts(left, QUERY_BLOCK), parts(right, CORPUS_SLICE)
+    left = spread_over(left, "qb", blocks, "cs", slices, "query_id").groupBy("cell", "qb", "cs")
+    right = spread_over(right, "cs", slices, "qb", blocks, "neighbour_id").groupBy("cell", "qb", "cs")
+    return _top(left.cogroup(right).applyInPandas(lambda q, c: _block(q, c, k, cosine, skip_self), out), k)
+
+
 def nearest_in_cells(
     queries: DataFrame,
     path: str,
@@ -237,24 +272,21 @@ def nearest_in_cells(
 ) -> DataFrame:
     """Approximate k best: each query looks only into its `probes` nearest cells.
 
-    Only those cells' folders are read. With as many probes as cells the result is exact. A query
-    batch above the limit is refused; cut it into several.
+    Only those cells' folders are read. With as many probes as cells the result is exact. Up to
+    `broadcast_queries` queries are sent to every task; more of them are dealt to their cells, each
+    cell's queries in blocks and its vectors in slices, and every block meets every slice of its cell.
     """
     spark = queries.sparkSession
     asked = _asked(queries, query_id, vec)
     held = hold_queries(asked, broadcast_queries)
-    if held is None:
-        raise ValueError(f"more than {broadcast_queries} queries in one batch")
     stored = spark.read.parquet(path)
     out = _result(asked, stored)
+    if held is None:
+        return _by_cell(asked, stored, centres, out, k, probes, cosine, skip_self)
     if not len(held[0]):
         return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
-    asking = held[1]
-    if cosine:
-        asking = asking / np.maximum(np.linalg.norm(asking, axis=1, keepdims=True), 1e-300)
-    away = ((asking[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
-    near = np.argsort(away, axis=1, kind="stable")[:, :probes]
-    wanted = np.zeros(away.shape, dtype=bool)
+    near = nearest_centres(held[1], centres, probes, cosine)
+    wanted = np.zeros((len(near), len(centres)), dtype=bool)
     np.put_along_axis(wanted, near, True, axis=1)
     cells = [int(c) for c in np.flatnonzero(wanted.any(axis=0))]
     rows = stored.where(F.col("cell").isin(cells)).select("neighbour_id", "vec", F.col("cell").cast("int").alias("cell"))
