@@ -58,6 +58,51 @@ def q_xml_decode_nested(spark, d):
     )
 
 
+#: What each nested record of `inputs.FULL_STATUS` decodes to, as JSON with the same marks.
+_RECORDS = {
+    "committees": '[{"system_code":"hs@K","name":"Committee @S","chamber":"House","type":"Standing","subcommittees":[{"system_code":"ss@K","name":"Sub @N",'
+    '"activities":[{"name":"Referred","date":"2024-01-01T05:00:00.000Z"}]}],"activities":[{"name":"Markup","date":"2024-01-02T05:00:00.000Z"}]}]',
+    "committee_reports": '[{"citation":"Report @K"}]',
+    "related_bills": '[{"title":"Like @S","congress":117,"number":@K,"type":"S","latest_action":{"action_date":"2024-01-03","text":"Read @N","committees":[]},'
+    '"relationship_details":[{"type":"Identical","identified_by":"CRS @N"}]}]',
+    "actions": '[{"action_date":"2024-01-04","text":"Sent @K","type":"Floor","action_code":"A@N","source_system":{"name":"House @S","code":"9"},"committees":[]}]',
+    "sponsors": '[{"bioguide_id":"M@K","full_name":"Rep. @S","first_name":"Ann","last_name":"@S","party":"D","state":"S@N",'
+    '"identifiers":{"bioguide_id":"M@K","lis_id":"@N","gpo_id":"7"},"district":"@N","is_by_request":"N"}]',
+    "cosponsors": '[{"bioguide_id":"C@K","full_name":"Rep. Co @S","first_name":"Co","last_name":"@S","party":"R","state":"T@N","middle_name":"Q",'
+    '"sponsorship_date":"2024-01-05","is_original_cosponsor":true}]',
+    "laws": '[{"type":"Public Law","number":"118-@K"}]',
+    "notes": '[{"text":"Note @S","links":[{"name":"n@N","url":"https://example.org/@K"}]}]',
+    "cbo_cost_estimates": '[{"pub_date":"2024-01-06T05:00:00.000Z","title":"Cost @S","url":"https://example.org/c/@K","description":"d@N"}]',
+    "subjects": '["@S","n@N"]',
+    "summaries": '[{"version_code":"00","action_date":"2024-01-07","action_desc":"As @S","update_date":"2024-01-08T05:00:00.000Z","text":"Sum @K"}]',
+    "titles": '[{"title_type":"Short","title":"T @S","chamber_code":"H","chamber_name":"House"}]',
+    "amendments": '[{"number":@K,"congress":118,"type":"HAMDT","description":"am @N","update_date":"2024-01-09T05:00:00.000Z","sponsors":[],'
+    '"submitted_date":"2024-01-10T05:00:00.000Z","chamber":"House","amended_bill":{"congress":118,"type":"HR","origin_chamber":"House",'
+    '"origin_chamber_code":"H","number":@K,"title":"@S"},"links":[{"name":"l@N","url":"https://example.org/a/@K"}],"actions":[{"action_date":"2024-01-11",'
+    '"text":"Agreed @N","links":[],"recorded_votes":[{"roll_number":@N,"chamber":"House","congress":118,"date":"2024-01-12T05:00:00.000Z",'
+    '"session_number":2,"url":"https://example.org/v/@K"}]}]}]',
+    "dublin_core": '{"dc_format":"f","dc_language":"l@N","dc_rights":"r","dc_contributor":"c@K","dc_description":"d"}',
+}
+
+
+def _filled(record: str) -> str:
+    return (
+        f"replace(replace(replace('{record}', '@K', CAST(c_custkey AS VARCHAR)), '@S', c_mktsegment), '@N', CAST(c_nationkey AS VARCHAR))"
+    )
+
+
+@query(
+    "q_status_records",
+    "SELECT c_custkey, c_mktsegment AS policy_area, " + ", ".join(f"{_filled(r)} AS {n}" for n, r in _RECORDS.items()) + ", 0 AS n_violations FROM customer",
+)
+def q_status_records(spark, d):
+    """Every kind of nested record, all of its values compared."""
+    docs = decode.decode_status(I.full_status_documents(I.wide(spark, d, "customer")))
+    return docs.select(
+        "c_custkey", "bs.policy_area", *[F.to_json(f"bs.{n}").alias(n) for n in _RECORDS], F.size("violations").alias("n_violations")
+    )
+
+
 @query(
     "q_xml_quarantine",
     """SELECT doc_id, list_extract(['', 'malformed', 'number:differs', 'introduced_date:missing', 'congress:int'],

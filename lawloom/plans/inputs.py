@@ -189,3 +189,56 @@ def label_centres(embeddings: DataFrame) -> DataFrame:
     return packed.select(
         F.col("label").cast("bigint").alias("query_id"), F.transform("cells", lambda c: c["m"]).alias("vec")
     )
+
+
+#: A status document with one of every nested record; @K is the customer's key, @S its segment, @N its nation.
+FULL_STATUS = (
+    '<?xml version="1.0" encoding="utf-8"?>\n<billStatus xmlns:dc="http://purl.org/dc/elements/1.1/"><version>3.0.0</version><bill>'
+    "<number>@K</number><type>HR</type><updateDate>2024-01-02T03:04:05Z</updateDate><originChamber>House</originChamber>"
+    "<introducedDate>2024-01-01</introducedDate><congress>118</congress><title>@S</title>"
+    "<committees><item><systemCode>hs@K</systemCode><name>Committee @S</name><chamber>House</chamber><type>Standing</type>"
+    "<subcommittees><item><systemCode>ss@K</systemCode><name>Sub @N</name><activities><item><name>Referred</name>"
+    "<date>2024-01-01T05:00:00Z</date></item></activities></item></subcommittees>"
+    "<activities><item><name>Markup</name><date>2024-01-02T05:00:00Z</date></item></activities></item></committees>"
+    "<committeeReports><committeeReport><citation>Report @K</citation></committeeReport></committeeReports>"
+    "<relatedBills><item><title>Like @S</title><congress>117</congress><number>@K</number><type>S</type>"
+    "<latestAction><actionDate>2024-01-03</actionDate><text>Read @N</text></latestAction><relationshipDetails><item>"
+    "<type>Identical</type><identifiedBy>CRS @N</identifiedBy></item></relationshipDetails></item></relatedBills>"
+    "<actions><item><actionDate>2024-01-04</actionDate><text>Sent @K</text><type>Floor</type><actionCode>A@N</actionCode>"
+    "<sourceSystem><code>9</code><name>House @S</name></sourceSystem></item></actions>"
+    "<sponsors><item><bioguideId>M@K</bioguideId><fullName>Rep. @S</fullName><firstName>Ann</firstName><lastName>@S</lastName>"
+    "<party>D</party><state>S@N</state><identifiers><bioguideId>M@K</bioguideId><lisID>@N</lisID><gpoId>7</gpoId></identifiers>"
+    "<district>@N</district><isByRequest>N</isByRequest></item></sponsors>"
+    "<cosponsors><item><bioguideId>C@K</bioguideId><fullName>Rep. Co @S</fullName><firstName>Co</firstName><lastName>@S</lastName>"
+    "<party>R</party><state>T@N</state><middleName>Q</middleName><sponsorshipDate>2024-01-05</sponsorshipDate>"
+    "<isOriginalCosponsor>True</isOriginalCosponsor></item></cosponsors>"
+    "<laws><item><type>Public Law</type><number>118-@K</number></item></laws>"
+    "<notes><item><text>Note @S</text><links><link><name>n@N</name><url>https://example.org/@K</url></link></links></item></notes>"
+    "<cboCostEstimates><item><pubDate>2024-01-06T05:00:00Z</pubDate><title>Cost @S</title><url>https://example.org/c/@K</url>"
+    "<description>d@N</description></item></cboCostEstimates>"
+    "<policyArea><name>@S</name></policyArea><subjects><legislativeSubjects><item><name>@S</name></item><item><name>n@N</name></item>"
+    "</legislativeSubjects></subjects>"
+    "<summaries><summary><versionCode>00</versionCode><actionDate>2024-01-07</actionDate><actionDesc>As @S</actionDesc>"
+    "<updateDate>2024-01-08T05:00:00Z</updateDate><text>Sum @K</text></summary></summaries>"
+    "<titles><item><titleType>Short</titleType><title>T @S</title><chamberCode>H</chamberCode><chamberName>House</chamberName></item></titles>"
+    "<amendments><amendment><number>@K</number><congress>118</congress><type>HAMDT</type><description>am @N</description>"
+    "<updateDate>2024-01-09T05:00:00Z</updateDate><submittedDate>2024-01-10T05:00:00Z</submittedDate><chamber>House</chamber>"
+    "<amendedBill><congress>118</congress><type>HR</type><originChamber>House</originChamber><originChamberCode>H</originChamberCode>"
+    "<number>@K</number><title>@S</title></amendedBill>"
+    "<links><link><name>l@N</name><url>https://example.org/a/@K</url></link></links>"
+    "<actions><count>1</count><actions><item><actionDate>2024-01-11</actionDate><text>Agreed @N</text><recordedVotes><recordedVote>"
+    "<rollNumber>@N</rollNumber><chamber>House</chamber><congress>118</congress><date>2024-01-12T05:00:00Z</date>"
+    "<sessionNumber>2</sessionNumber><url>https://example.org/v/@K</url></recordedVote></recordedVotes></item></actions></actions>"
+    "</amendment></amendments>"
+    "<latestAction><actionDate>2024-01-13</actionDate><text>last @S</text></latestAction></bill>"
+    "<dublinCore><dc:format>f</dc:format><dc:language>l@N</dc:language><dc:rights>r</dc:rights><dc:contributor>c@K</dc:contributor>"
+    "<dc:description>d</dc:description></dublinCore></billStatus>"
+)
+
+
+def full_status_documents(customer: DataFrame) -> DataFrame:
+    """One status document per customer, with every kind of nested record."""
+    text = F.lit(FULL_STATUS)
+    for mark, value in (("@K", "c_custkey"), ("@S", "c_mktsegment"), ("@N", "c_nationkey")):
+        text = F.replace(text, F.lit(mark), F.col(value).cast("string"))
+    return customer.select("c_custkey", text.alias("bs_xml"))
