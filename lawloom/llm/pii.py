@@ -44,9 +44,13 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
 
-#: Looser forms, by kind. Bounded repeats, so that each start costs a bounded time.
+#: Looser e-mail: what may stand for the sign, and what must follow. Searched from the sign outwards.
+SIGN = re.compile(r"(?i) ?(?:@|[(\[{] ?at ?[)\]}]) ?| at ")
+LOOSE_DOMAIN = re.compile(r"(?i)[a-z0-9-]{1,63}(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?| dot )[a-z0-9-]{2,24}){1,4}")
+LOOSE_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
+
+#: Looser forms with digits, by kind. Bounded repeats, so that each start costs a bounded time.
 LOOSE = (
-    (0, re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64} ?(?:@|[(\[{] ?at ?[)\]}]| at ) ?[a-z0-9-]{1,63}(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?| dot )[a-z0-9-]{2,24}){1,4}")),
     (1, re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|\.) ?[0-9]{1,3}){3}(?![0-9])")),
     (2, re.compile(r"(?<![0-9])[0-9](?:[ ./_–-]{0,2}[0-9]){11,18}(?![0-9])")),
     (3, re.compile(r"(?<![0-9])(?:\+|00)?(?:[0-9]{1,3}[ .-]{1,2})?\(?[0-9]{2,4}\)?[ ./-]{1,3}[0-9]{2,4}[ .-]{1,2}[0-9]{2,4}(?![0-9])")),
@@ -93,7 +97,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def loose_spans(text: str) -> list[tuple[int, int, int]]:
-    return [(kind, m.start(), m.end()) for kind, form in LOOSE for m in form.finditer(text)]
+    out = []
+    for sign in SIGN.finditer(text):
+        domain = LOOSE_DOMAIN.match(text, sign.end())
+        local = LOOSE_LOCAL.search(text[max(0, sign.start() - 64) : sign.start()]) if domain else None
+        if local:
+            out.append((0, sign.start() - len(local[0]), domain.end()))
+    if DIGITS.search(text):
+        out += [(kind, m.start(), m.end()) for kind, form in LOOSE for m in form.finditer(text)]
+    return out
 
 
 def span_features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -135,7 +147,7 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole):
             texts = strings(batch.column("text"))
-            likely = pc.match_substring_regex(texts, r"[0-9@]| ?[(\[{]? ?at ?[)\]}]? ?").to_pylist()
+            likely = pc.match_substring_regex(texts, r"(?i)[0-9@]| at |[(\[{] ?at").to_pylist()
             base, loose, seen = [], [], []
             for text, look in zip(texts.to_pylist(), likely):
                 mine = base_spans(text) if look else []
