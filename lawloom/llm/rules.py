@@ -27,7 +27,7 @@ RULES: dict[str, str] = {
     "many_symbols": "10 * n_symbols > n_words",
     "long_words": "word_chars > 20 * n_words",
     "short_words": "2 * word_chars < 3 * n_words",
-    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
     "shouting": "10 * n_upper > 4 * word_chars",
     "few_letters": "2 * n_letters < word_chars",
 }
