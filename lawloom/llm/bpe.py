@@ -27,6 +27,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from lawloom.llm.common import bound_batches, slices, strings
 from lawloom.llm.vocab import WORD_END, PieceCache, as_letters, default_path, pieces_of, simple_words
 
+#: Entries of each cache here: their values are texts, larger than plain ids.
+CACHE_PIECES = 250_000
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -115,8 +117,8 @@ class Codec:
         self.normalise = whole.normalizer.normalize_str
         self.split = whole.pre_tokenizer.pre_tokenize_str
         self.marked = re.compile("(" + "|".join(map(re.escape, self.merges.special)) + ")")
-        self.words = PieceCache(lambda words: list(map(tuple, self.merges.encode_words(words))))
-        self.pieces = PieceCache(self.encode_pieces)
+        self.words = PieceCache(lambda words: list(map(tuple, self.merges.encode_words(words))), CACHE_PIECES)
+        self.pieces = PieceCache(self.encode_pieces, CACHE_PIECES)
 
     def odd_words(self, piece: str) -> list[str | int]:
         """Words of any piece, and ids of the special tokens in it."""

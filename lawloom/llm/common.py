@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lawloom.session import scratch_path
 
 #: Rows and bytes of one Arrow batch handed to Python: bounds a task's memory where texts are long.
-BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -32,7 +32,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a piece are about `most` bytes (one longer text is a piece)."""
     if batch.num_rows == 0:
         return

@@ -141,7 +141,7 @@ def probability_jaccard(x: dict | tuple, y: tuple) -> float:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text_b", 1 << 20):
+        for batch in slices(whole, "text_b", 1 << 19):
             sides = []
             for name in ("text_a", "text_b"):
                 shingles, weights, counts = weighted_shingles(*hashed_words(strings(batch.column(name))))

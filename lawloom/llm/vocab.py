@@ -14,8 +14,8 @@ from collections.abc import Callable, Iterable
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: Entries kept by one cache of a Python worker (under 200 MB); beyond it the older half goes.
-CACHE_PIECES = 1_000_000
+#: Entries kept by one cache of a Python worker (under 100 MB); beyond it the older half goes.
+CACHE_PIECES = 500_000
 #: Fixed value: the vocabulary's mark of a word's last token.
 WORD_END = "</w>"
 WORDS_A_LINE = 200
