@@ -10,14 +10,18 @@ Texts with equal word sequences are one class from the start; only the least doc
 part further. Bands of registers deal texts into buckets. A bucket is never expanded into all its pairs:
 its texts are compared with two pivots of it. Texts that became connected need no more comparison;
 where the texts of a bucket are still in several components, the bucket is parted by a second band, and
-again each part's texts meet its two pivots, for DEPTH second bands in turn. So the number of comparisons
-stays in proportion to the texts, and parts of a hot bucket shrink to texts that are very much alike. All
-compared pairs are verified on the whole texts; links (LEAST and above) are connected, and every document
-gets the least doc_id of its component.
+again each part's texts meet its two pivots, for DEPTH second bands in turn. So large groups are connected
+by comparisons in proportion to their texts.
+
+What then still lies in several components of a bucket is compared completely: every two texts of a bucket
+and of different components, by their registers, in blocks of bounded size that spread a hot bucket over
+tasks. Pairs that agree in NEAR registers are verified, first the best few of each text (BEST, in turn), as
+links connect most of the rest, at last all pairs left. (A pair of similarity 0.8 agrees in fewer with
+probability 3e-9.) All verification is done on the whole texts; links (LEAST and above) are connected, and
+every document gets the least doc_id of its component.
 
 With 32 bands of 6 registers a pair of similarity 0.8 shares no bucket with probability 6e-5, one of
-0.85 with 3e-7; with the 128 pairs of bands it shares no part with 1e-4 and 3e-9. Null texts are empty. Texts without words are equal when they are the same string; texts
-of one to four words are one shingle. Rows of one doc_id count as one document: equal texts fall
+0.85 with 3e-7. Null texts are empty. Texts without words are equal when they are the same string; texts of one to four words are one shingle. Rows of one doc_id count as one document: equal texts fall
 together, of different ones each gets its class. Rows without doc_id get a null class. Other columns are ignored.
 """
 
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawloom.llm.common import bound_batches, mix, slices, stage, strings, unit
@@ -41,6 +45,12 @@ BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 #: Second bands by which buckets with several components are parted, one after another.
 DEPTH = 4
+#: Registers in which a pair must agree to be verified in the complete comparison.
+NEAR = 119
+#: Partners of a text that are verified in each round of the complete comparison (None: all).
+BEST = (1, 16, None)
+#: Texts of a bucket that are compared with as many others in one block, about.
+BLOCK = 256
 #: Bits of a shingle's hash that are kept (the rest holds the text's number in a batch).
 SHINGLE_BITS = 44
 
@@ -108,7 +118,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = strings(batch.column("text"))
             words, counts = hashed_words(texts)
             shingles, weights, numbers = weighted_shingles(words, counts)
-            keys = band_keys(signatures(shingles, weights, numbers))
+            signed = signatures(shingles, weights, numbers)
+            keys = band_keys(signed)
+            registers = (mix(signed) & np.uint64(255)).astype(np.uint8)
             starts = np.cumsum(counts) - counts
             names = [
                 xxhash.xxh3_128_digest(words[a : a + n].tobytes()) if n else xxhash.xxh3_128_digest(texts[i].as_py(), 1)
@@ -117,8 +129,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = counts > 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.binary()),
-                 lists(keys[some].ravel(), np.where(some, BANDS, 0))],
-                ["doc_id", "name", "bands"],
+                 lists(keys[some].ravel(), np.where(some, BANDS, 0)), pa.array([r.tobytes() for r in registers], pa.binary())],
+                ["doc_id", "name", "bands", "registers"],
             )
 
 
@@ -186,12 +198,12 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bound_batches(spark)
     signed = stage(
-        docs.select("doc_id", "text").mapInArrow(_sign, "doc_id long, name binary, bands array<long>"), "near-signed"
+        docs.select("doc_id", "text").mapInArrow(_sign, "doc_id long, name binary, bands array<long>, registers binary"), "near-signed"
     )
     kept = signed.where("doc_id IS NOT NULL")
     members = kept.groupBy("name").agg(F.min("doc_id").alias("node"))
     # A doc_id that has several texts may lead several classes of equal texts: they are one node.
-    leaders = kept.join(members, "name").where("doc_id = node").select("node", "bands").distinct()
+    leaders = kept.join(members, "name").where("doc_id = node").select("node", "bands", "registers").distinct()
     rows = leaders.select("node", F.explode("bands").alias("bucket"))
     crowded = rows.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
     wanted = rows.join(crowded.select("bucket"), "bucket", "left_semi").select("node").distinct()
@@ -223,9 +235,91 @@ def classes(docs: DataFrame) -> DataFrame:
         fresh = verify(pairs, texts)
         sims = sims.union(fresh) if depth else fresh
         labels = merged(labels, fresh.where(F.col("sim") >= LEAST))
+    for best in BEST:
+        near = stage(alike(blocks(nodes, labels), best), "near-alike")
+        if near.isEmpty():
+            break
+        pairs = stage(near.join(sims, ["a", "b"], "left_anti"), "near-pairs")
+        if pairs.isEmpty():
+            continue
+        fresh = verify(pairs, texts)
+        sims = sims.union(fresh)
+        labels = merged(labels, fresh.where(F.col("sim") >= LEAST))
     return _result(signed, members, sims, labels)
 
 
+def blocks(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Blocks x, y, members of all buckets with several components.
+
+    The texts of a bucket are dealt into groups of about BLOCK, those of its largest component apart from
+    the others. A block holds two groups x and y to be compared, or one group (x = y). Groups of the largest
+    component meet only the others, so a bucket with few others has few rows, however large it is.
+    Buckets of two texts are left out: the two have met as pivot and text.
+    """
+    dealt = nodes.join(labels, "node").select("node", "label", F.explode("bands").alias("bucket"))
+    mixed = (
+        dealt.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+        .groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts"))
+        .where("parts > 1 AND n > 2")
+        .select("bucket", F.col("most.label").alias("_most"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("_others"),
+                F.ceil(F.col("most.n") / BLOCK).alias("_groups"))
+    )
+    turn, others, most = F.xxhash64("node", F.lit(7)), F.col("_others"), F.col("label") == F.col("_most")
+    own = F.when(most, others + F.pmod(turn, "_groups")).otherwise(F.pmod(turn, others))
+    last = F.when(most, others).otherwise(others + F.col("_groups")) - 1
+    grouped = (
+        dealt.join(mixed, "bucket")
+        .select("bucket", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
+        .select("bucket", "node", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        .join(nodes.select("node", "registers"), "node")
+    )
+    return grouped.groupBy("bucket", "x", "y").agg(
+        F.collect_list(F.struct("own", "node", "label", "registers")).alias("members")
+    ).select("x", "y", "members")
+
+
+def alike(rows: DataFrame, best: int | None) -> DataFrame:
+    """(a, b) of different components that agree in NEAR registers: all of them, or each text's `best` ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = batch.column("members")
+            ends = np.cumsum(members.value_lengths().to_numpy())
+            own, node, label, registers = members.flatten().flatten()
+            own, node, label = own.to_numpy(), node.to_numpy(), label.to_numpy()
+            registers = np.frombuffer(b"".join(registers.to_pylist()), np.uint8).reshape(-1, REGISTERS)
+            starts = np.r_[0, ends[:-1]]
+            for x, y, p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), starts, ends):
+                left, right = p + np.flatnonzero(own[p:q] == x), p + np.flatnonzero(own[p:q] == y)
+                agree = np.stack([np.count_nonzero(registers[right] == registers[i], axis=1) for i in left]) if len(left) else np.zeros((0, len(right)), int)
+                agree[label[left][:, None] == label[right]] = 0
+                i, j = np.nonzero(agree >= NEAR)
+                if best is not None and len(i):
+                    i, j = foremost(agree, i, j, best)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[left[i]]), pa.array(node[right[j]]), pa.array(agree[i, j].astype(np.int32))], ["a", "b", "agree"]
+                )
+
+    found = rows.mapInArrow(run, "a long, b long, agree int")
+    if best is not None:
+        both = found.union(found.select("b", "a", "agree")).distinct()
+        rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("agree"), F.xxhash64("a", "b")))
+        found = both.withColumn("_rank", rank).where(F.col("_rank") <= best)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def foremost(agree: np.ndarray, i: np.ndarray, j: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the cells (i, j), those among the `best` of their row or of their column."""
+    keep = np.zeros(len(i), bool)
+    for line in (i, j):
+        order = np.lexsort((-agree[i, j], line))
+        ordered = line[order]
+        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+        keep[order[rank < best]] = True
+    return i[keep], j[keep]
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after components were joined by further links."""
     for end in ("a", "b"):

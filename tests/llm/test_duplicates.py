@@ -82,6 +82,49 @@ def test_classes_equal_brute_force(spark):
     assert got == brute_classes([(i, t or "") for i, t in rows])
 
 
+def star(copies, middle, seed=9):
+    """Copies alike to the original (0.8 and more), not to each other; the original has a middle doc_id."""
+    rng = random.Random(seed)
+    original = [f"s{i}" for i in range(200)]
+    rows = [(middle, " ".join(original))]
+    for n in range(copies):
+        text = list(original)
+        for k, place in enumerate(rng.sample(range(1, 20), 4)):
+            text[place * 10 - rng.randrange(5)] = f"e{n}x{k}"
+        rows.append((n if n < middle else n + 1, " ".join(text)))
+    return rows
+
+
+def test_star_around_a_middle_doc_id(spark):
+    rows = star(320, 160)
+    of = dict(rows)
+    sets = {n: set(shingles(t)) for n, t in rows}  # no shingle repeats: plain Jaccard
+    jaccard = lambda x, y: len(sets[x] & sets[y]) / len(sets[x] | sets[y])
+    assert all(jaccard(160, n) >= 0.8 for n in of) and jaccard(0, 1) < 0.8
+    got = probminhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.class_id for r in got} == {0} and len(got) == 321
+
+
+def test_blocks_meet_every_pair(spark, monkeypatch):
+    """Registers alone, in blocks of a few texts: the same pairs as a full table."""
+    monkeypatch.setattr(probminhash, "BLOCK", 4)
+    rng = np.random.default_rng(3)
+    registers = rng.integers(0, 2, (60, probminhash.REGISTERS), np.uint8)
+    registers[::2, :90] = 1
+    rows = [(n, [n % 3], r.tobytes()) for n, r in enumerate(registers)]
+    nodes = spark.createDataFrame(rows, "node long, bands array<long>, registers binary")
+    label = [0 if n < 25 else n // 2 for n in range(60)]
+    labels = spark.createDataFrame(list(enumerate(label)), "node long, label long")
+    got = sorted((r.a, r.b) for r in probminhash.alike(probminhash.blocks(nodes, labels), None).collect())
+    want = [
+        (i, j) for i in range(60) for j in range(i + 1, 60)
+        if i % 3 == j % 3 and label[i] != label[j] and (registers[i] == registers[j]).sum() >= probminhash.NEAR
+    ]
+    assert want and got == want
+    best = {(r.a, r.b) for r in probminhash.alike(probminhash.blocks(nodes, labels), 1).collect()}
+    assert best <= set(want) and {n for p in best for n in p} == {n for p in want for n in p}
+
+
 def test_odd_rows(spark, odd_docs):
     rows = probminhash.classes(odd_docs).collect()
     assert len(rows) == odd_docs.count()
