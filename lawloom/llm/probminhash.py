@@ -21,7 +21,8 @@ probability 3e-9.) All verification is done on the whole texts; links (LEAST and
 every document gets the least doc_id of its component.
 
 With 32 bands of 6 registers a pair of similarity 0.8 shares no bucket with probability 6e-5, one of
-0.85 with 3e-7. Null texts are empty. Texts without words are equal when they are the same string; texts of one to four words are one shingle. Rows of one doc_id count as one document: equal texts fall
+0.85 with 3e-7. Null texts are empty. Texts without words are equal when they are the same string; texts
+of one to four words are one shingle. Rows of one doc_id count as one document: equal texts fall
 together, of different ones each gets its class. Rows without doc_id get a null class. Other columns are ignored.
 """
 
@@ -194,7 +195,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, class_id (least doc_id of its class), n_links (verified links of its text)."""
+    """Per row: doc_id, class_id (least doc_id of its class), links_used (links of its text that the search found).
+
+    `links_used` counts links the search happened to need; it is not the number of near duplicates.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
     signed = stage(
@@ -333,15 +337,15 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _result(signed: DataFrame, members: DataFrame, sims: DataFrame, labels: DataFrame) -> DataFrame:
     links = sims.where(F.col("sim") >= LEAST).select("a", "b").distinct()
-    number = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    number = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links_used"))
     named = (
         members.join(labels, "node", "left").join(number, "node", "left")
-        .select("name", F.coalesce("label", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        .select("name", F.coalesce("label", "node").alias("class_id"), F.coalesce("links_used", F.lit(0)).cast("long").alias("links_used"))
     )
-    out = signed.where("doc_id IS NOT NULL").select("doc_id", "name").join(named, "name").select("doc_id", "class_id", "n_links")
+    out = signed.where("doc_id IS NOT NULL").select("doc_id", "name").join(named, "name").select("doc_id", "class_id", "links_used")
     return out.unionByName(
         signed.where("doc_id IS NULL").select(
-            "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+            "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("links_used")
         )
     )
 

@@ -125,6 +125,12 @@ def test_blocks_meet_every_pair(spark, monkeypatch):
     assert best <= set(want) and {n for p in best for n in p} == {n for p in want for n in p}
 
 
+def test_links_are_named_as_what_they_are(spark):
+    """A count of links used in the search is not the number of near duplicates."""
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert probminhash.classes(docs).columns == ["doc_id", "class_id", "links_used"]
+
+
 def test_odd_rows(spark, odd_docs):
     rows = probminhash.classes(odd_docs).collect()
     assert len(rows) == odd_docs.count()
