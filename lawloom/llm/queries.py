@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawloom.llm import bpe, decontam, lm_scoring, pii, probminhash, quality, rules, token_counts, tokens_out, urls
+from lawloom.llm import bpe, decontam, language, lm_scoring, merkle, pii, probminhash, quality, rules, spelling, token_counts, tokens_out, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,21 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op11_naive_bayes_lang(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tamper_and_audit(table(spark, folder, "documents"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+ORACLES |= {"op12_merkle_manifest": merkle.ORACLE, "op13_spelling_variants": spelling.ORACLE}
