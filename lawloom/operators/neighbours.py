@@ -7,7 +7,7 @@ what is shuffled grows with queries times tasks, never with queries times vector
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -230,9 +230,33 @@ def nearest_centres(vecs: np.ndarray, centres: np.ndarray, probes: int, cosine:
     return np.argsort(away, axis=1, kind="stable")[:, :probes]
 
 
+def measured_probes(
+    queries: DataFrame, corpus: DataFrame, path: str, centres: np.ndarray, k: int, query_id: str = "vec_id",
+    corpus_id: str = "vec_id", skip_self: bool = True, wanted: float = 0.95, most: int = 128, **how,
+) -> tuple[int, float]:
+    """The least number of cells (doubling) with which at most `most` of the queries reach the wanted recall, and that recall."""
+    some = queries.orderBy(F.xxhash64(query_id), query_id).limit(most).cache()
+    exact = nearest(some, corpus, k, query_id, corpus_id, skip_self=skip_self, **how).select("query_id", "neighbour_id").cache()
+    total, probes = exact.count(), 1
+    while True:
+        probes = min(probes, len(centres))
+        found = nearest_in_cells(some, path, centres, k, probes, query_id, skip_self=skip_self, **how)
+        recall = found.join(exact, ["query_id", "neighbour_id"], "left_semi").count() / total if total else 1.0
+        if recall >= wanted or probes == len(centres):
+            return probes, recall
+        probes *= 2
+
+
 def _by_cell(asked: DataFrame, stored: DataFrame, centres: np.ndarray, out: T.StructType, k: int, probes: int,
              cosine: bool, skip_self: bool) -> DataFrame:
     """Search in cells for any number of queries."""
+    search = lambda q, c: _block(q, c, k, cosine, skip_self)
+    return dealt_by_cell(asked, stored, ("neighbour_id", "vec"), centres, out, k, probes, cosine, search)
+
+
+def dealt_by_cell(asked: DataFrame, stored: DataFrame, columns: tuple[str, ...], centres: np.ndarray, out: T.StructType,
+                  k: int, probes: int, cosine: bool, search: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """The best k of what `search` finds between blocks of queries and slices of the cells they look into."""
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
@@ -240,7 +264,7 @@ def _by_cell(asked: DataFrame, stored: DataFrame, centres: np.ndarray, out: T.St
                 yield frame.assign(cell=list(near.astype(np.int32))).explode("cell").astype({"cell": "int32"})
 
     left = asked.mapInPandas(deal, T.StructType([*asked.schema, T.StructField("cell", T.IntegerType())]))
-    right = stored.select("neighbour_id", "vec", F.col("cell").cast("int").alias("cell"))
+    right = stored.select(*columns, F.col("cell").cast("int").alias("cell"))
 
     def parts(df: DataFrame, most: int) -> list[int]:
         sizes = dict(map(tuple, df.groupBy("cell").count().collect()))  # at most one row per cell
@@ -255,7 +279,7 @@ def _by_cell(asked: DataFrame, stored: DataFrame, centres: np.ndarray, out: T.St
     blocks, slices = parts(left, QUERY_BLOCK), parts(right, CORPUS_SLICE)
     left = spread_over(left, "qb", blocks, "cs", slices, "query_id").groupBy("cell", "qb", "cs")
     right = spread_over(right, "cs", slices, "qb", blocks, "neighbour_id").groupBy("cell", "qb", "cs")
-    return _top(left.cogroup(right).applyInPandas(lambda q, c: _block(q, c, k, cosine, skip_self), out), k)
+    return _top(left.cogroup(right).applyInPandas(lambda q, c: search(q, c), out), k)
 
 
 def nearest_in_cells(

@@ -8,9 +8,9 @@ from lawloom.functions.text import child_names
 
 
 def tag_counts(df: DataFrame, xml: str, parent: str) -> DataFrame:
-    """How often each tag occurs among the children of the element named `parent`."""
-    element = F.regexp_extract(xml, rf"(?s)<{parent}(?:\s[^>]*)?>.*</{parent}\s*>", 0)
-    tags = df.select(F.explode(child_names(element)).alias("tag"))
+    """How often each tag occurs among the children of the elements named `parent`, which hold none of their own name."""
+    elements = F.regexp_extract_all(xml, F.lit(rf"(?s)<{parent}(?:\s[^>]*)?>.*?</{parent}\s*>"), 0)
+    tags = df.select(F.explode(elements).alias("element")).select(F.explode(child_names(F.col("element"))).alias("tag"))
     return tags.groupBy("tag").agg(F.count("*").alias("n"))
 
 

@@ -12,12 +12,13 @@ from lawloom.operators.enrich import export_rows, export_with_scores, flat_recor
 from lawloom.operators.neighbours import nearest
 from lawloom.operators.context import build_context
 from lawloom.operators.splits import assign_splits, drop_empty_text, text_rows, write_splits
-from lawloom.operators.unify import newest_version, unify
+from lawloom.operators.unify import newest_version, refresh_folder, unify
 from lawloom.operators.upsert import latest_rows, upsert_folder
 from lawloom.sources.sinks import chunk_tag, export_by
-from lawloom.sources.xmltree import read_status, read_texts, status_rows, text_rows as tree_text_rows
-from lawloom.streaming.ingest import BATCH, list_files, read_ledger, read_paths, stem_of
-from lawloom.constants import LASTMOD_SUFFIX, PASSAGES_PER_QUESTION
+from lawloom.sources.treesource import stream_tree
+from lawloom.sources.xmltree import TEXT_NAMES, read_status, read_texts, status_rows, text_rows as tree_text_rows
+from lawloom.streaming.ingest import BATCH
+from lawloom.constants import PASSAGES_PER_QUESTION, STATUS_FILE_NAME
 from lawloom.session import cut_lineage
 
 BILL_ORDER = ("legis_type", "legis_num")
@@ -33,47 +34,30 @@ def land(spark: SparkSession, root: str, out: str) -> None:
         _with_state(read(spark, root)).write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}")
 
 
-# Table, files of its kind with their side files, rows made of them, key.
+# Table, names of its files, rows made of them, key.
 STREAMS = (
-    ("billstatus", "fdsys_billstatus*", status_rows, "legis_id"),
-    ("textversion", "{BILLS-*,PLAW-*}", tree_text_rows, "tv_id"),
+    ("billstatus", STATUS_FILE_NAME, status_rows, "legis_id"),
+    ("textversion", TEXT_NAMES, tree_text_rows, "tv_id"),
 )
 
 
-#: Files named to one reader call; more changed files are read as further batches.
-FILES_PER_BATCH = 20_000
-
-
-def ingest_arrivals(spark: SparkSession, root: str, out: str, state: str) -> None:
+def ingest_arrivals(spark: SparkSession, root: str, out: str, state: str, settle: float = 0.0) -> None:
     """Land what is new or changed in the tree since the last run, as batches of a log.
 
-    A ledger holds path and modification time of every file landed. A file whose time differs is read
-    again together with the other file of its stem, so an XML file rewritten in place and a side file
-    that comes late both count. A batch is written before its ledger entries: after a failure the next
-    run makes the same batch again and replaces its folder.
+    The tree is a stream of files paired with their side files: an XML file rewritten in place and a side
+    file that comes late both count. A batch that is made again after a failure replaces its own folder.
     """
-    for name, glob, make, _ in STREAMS:
-        ledger = f"{state}/{name}"
-        files = list_files(spark, root, glob)
-        known = read_ledger(spark, ledger)
-        fresh = files.join(known, ["path", "changed"], "left_anti")
-        stem = stem_of(F.col("path"))
-        # File names only, as Spark's own file index holds them on the driver.
-        changed = files.join(fresh.select(stem.alias("stem")).distinct(), stem == F.col("stem"), "left_semi")
-        arrived_files = changed.orderBy(stem, "path").collect()
-        batch_id = (known.agg(F.max(BATCH)).first()[0] or 0) + 1
-        for at in range(0, len(arrived_files), FILES_PER_BATCH):
-            # A stem's two files are read in one batch, also where a batch begins between them.
-            some = arrived_files[at : at + FILES_PER_BATCH]
-            whole = [f["path"] for f in arrived_files[max(0, at - 1) : at + FILES_PER_BATCH + 1]]
-            read = read_paths(spark, whole)
-            side = F.endswith(F.col("path"), F.lit(LASTMOD_SUFFIX))
-            xml = F.endswith(F.col("path"), F.lit(".xml"))
-            rows = _with_state(make(read.where(xml), read.where(side), root))
-            rows.write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}/{BATCH}={batch_id}")
-            landed = spark.createDataFrame([(f["path"], f["changed"]) for f in some], "path string, changed timestamp")
-            landed.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/{BATCH}={batch_id}")
-            batch_id += 1
+    def started(name, names, make):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            if not batch.isEmpty():
+                rows = _with_state(make(batch, root))
+                rows.write.mode("overwrite").partitionBy("state").parquet(f"{out}/{name}/{BATCH}={batch_id}")
+
+        stream = stream_tree(spark, root, names, settle=settle).writeStream.foreachBatch(write)
+        return stream.option("checkpointLocation", f"{state}/{name}").trigger(availableNow=True).start()
+
+    for run in [started(name, names, make) for name, names, make, _ in STREAMS]:
+        run.awaitTermination()
 
 
 def ingested(spark: SparkSession, out: str, name: str) -> DataFrame:
@@ -93,10 +77,21 @@ def quarantined(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{name}").where(F.col("state") == "quarantined").drop("state")
 
 
-def upsert_landed(spark: SparkSession, out: str, tables: str) -> None:
-    """Apply landed rows to the tables; only congresses that have arrivals are rewritten."""
+def upsert_landed(spark: SparkSession, out: str, tables: str, changes: str | None = None) -> None:
+    """Apply landed rows to the tables; only congresses that have arrivals are rewritten.
+
+    With `changes`, the changed rows as they were and as they are now are left there for `refresh_unified`.
+    """
     for name, key in (("billstatus", "legis_id"), ("textversion", "tv_id")):
-        upsert_folder(arrived(spark, out, name), f"{tables}/{name}", [key], ["lastmod", "scrape_path"], "congress_num")
+        upsert_folder(
+            arrived(spark, out, name), f"{tables}/{name}", [key], ["lastmod", "scrape_path"], "congress_num",
+            changes=changes and f"{changes}/{name}",
+        )
+
+
+def refresh_unified(spark: SparkSession, tables: str, changes: str, path: str) -> None:
+    """Bring the unified bills at `path` (by congress, without texts) up to date with the tables."""
+    refresh_folder(spark, path, f"{tables}/billstatus", f"{tables}/textversion", f"{changes}/billstatus", f"{changes}/textversion")
 
 
 def write_unified(spark: SparkSession, tables: str, out: str) -> None:

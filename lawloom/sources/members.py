@@ -11,10 +11,26 @@ from lawloom.functions.fields import lookup, member_url, printed_key
 from lawloom.schemas import MEMBERS
 
 
-def read_members(spark: SparkSession, path: str) -> DataFrame:
-    """Members from a CSV with a header, declared columns only, in whatever order the file has."""
+def checked_members(spark: SparkSession, path: str) -> DataFrame:
+    """Members from a CSV with a header, declared columns only, in whatever order the file has, and `violations`.
+
+    A value that is there but is not of its column's type reads as null and names its column.
+    """
     raw = spark.read.csv(path, header=True)
-    return raw.select(*[F.trim(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in MEMBERS.fields])
+    text = {f.name: F.trim(F.col(f.name)) for f in MEMBERS.fields}
+    values = {f.name: text[f.name].try_cast(f.dataType) for f in MEMBERS.fields}
+    bad = [F.when((text[n] != "") & v.isNull(), F.lit(f"{n}:type")) for n, v in values.items()]
+    return raw.select(*[v.alias(n) for n, v in values.items()], F.array_compact(F.array(*bad)).alias("violations"))
+
+
+def read_members(spark: SparkSession, path: str) -> DataFrame:
+    return checked_members(spark, path).drop("violations")
+
+
+def quarantined_members(checked: DataFrame, required: Sequence[str] = REQUIRED_SCORES) -> DataFrame:
+    """Members with a value of a wrong type; `is_dropped` tells which of them lack a required score by it."""
+    lost = F.arrays_overlap("violations", F.array(*[F.lit(f"{c}:type") for c in required]))
+    return checked.where(F.size("violations") > 0).withColumn("is_dropped", lost)
 
 
 def filter_members(

@@ -5,27 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lawloom.operators.numbering import number_rows
 
 
+#: Rows of a page at most.
+PAGE_ROWS = 100
+
+
 def read_stage(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A stage's parquet data; name columns to read only those."""
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark's own readers see them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    """Whether Spark finds a folder; any other failure to read it is raised."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether there is such a folder; nothing below it is listed."""
+    where, store = _hadoop_path(spark, path)
+    return store.exists(where)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Take away a folder of files, as that of a split without rows."""
+    where, store = _hadoop_path(spark, path)
+    store.delete(where, True)
 
 
 def select_splits(df: DataFrame, splits: Sequence, column: str = "congress_num") -> DataFrame:
@@ -52,7 +62,7 @@ def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
-def page_rows(df: DataFrame, order: Sequence[str], offset: int, length: int, max_length: int = 100) -> DataFrame:
+def page_rows(df: DataFrame, order: Sequence[str], offset: int, length: int, max_length: int = PAGE_ROWS) -> DataFrame:
     """Rows `offset` to `offset + length` in key order.
 
     `order` ends in a unique key. Only the order columns are numbered, by ranges, so that no task holds

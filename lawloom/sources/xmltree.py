@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lawloom.constants import LASTMOD_SUFFIX, STATUS_FILE_NAME
+from lawloom.constants import STATUS_FILE_NAME
 from lawloom.functions import keys as K
 from lawloom.functions.text import is_malformed, bill_text, strip_spaces
 from lawloom.operators.decode import decode_status, root_violation
+from lawloom.sources.treesource import read_tree
+
+#: Text files; what else has their form is told by the patterns of their names.
+TEXT_NAMES = "BILLS-*.xml|PLAW-*.xml"
 
 
 def read_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -29,39 +33,28 @@ def join_sidecar(
     out: str = "lastmod",
 ) -> DataFrame:
     """Add the side file's timestamp; null when the side file is missing or unreadable."""
-    stamps = sidecars.select(*on, F.trim(strip_spaces(F.col(stamp))).try_cast("timestamp").alias(out))
+    stamps = sidecars.select(*on, lastmod_of(F.col(stamp)).alias(out))
     return files.join(stamps, on, "left")
 
 
-def _with_lastmod(files: DataFrame, sidecars: DataFrame) -> DataFrame:
-    stamps = sidecars.select(
-        K.parent_folder(F.col("path")).alias("folder"),
-        F.replace(K.last_segment(F.col("path")), F.lit(LASTMOD_SUFFIX), F.lit("")).alias("stem"),
-        F.col("body").alias("stamp_text"),
-    )
-    keyed = files.withColumns(
-        {"folder": K.parent_folder(F.col("path")), "stem": K.stem(K.last_segment(F.col("path")))}
-    )
-    return join_sidecar(keyed, stamps, ["folder", "stem"]).drop("folder", "stem")
+def lastmod_of(stamp: Column) -> Column:
+    """A side file's text as a timestamp; null when the file is missing or unreadable."""
+    return F.trim(strip_spaces(stamp)).try_cast("timestamp")
 
 
 def _names(*pairs: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for test, name in pairs]))
 
 
-def read_sidecars(spark: SparkSession, root: str) -> DataFrame:
-    return read_files(spark, root, f"*{LASTMOD_SUFFIX}")
-
-
-def status_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
-    """Status files (path, body) as billstatus rows with `bs` decoded and `violations` named.
+def status_rows(pairs: DataFrame, root: str) -> DataFrame:
+    """Status files (path, body, stamp_text) as billstatus rows with `bs` decoded and `violations` named.
 
     Rows whose path has another form, whose side file is missing or whose document breaks a rule
     stay in the result.
     """
     part = F.col("part")
     rows = (
-        _with_lastmod(files, sidecars)
+        pairs.withColumn("lastmod", lastmod_of(F.col("stamp_text")))
         .withColumn("scrape_path", K.relative_path(F.col("path"), root))
         .withColumn("part", K.status_path_parts(F.col("scrape_path")))
         .select(
@@ -79,7 +72,7 @@ def status_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
 
 
 def read_status(spark: SparkSession, root: str) -> DataFrame:
-    return status_rows(read_files(spark, root, STATUS_FILE_NAME), read_sidecars(spark, root), root)
+    return status_rows(read_tree(spark, root, STATUS_FILE_NAME), root)
 
 
 def named_files(files: DataFrame) -> DataFrame:
@@ -97,12 +90,12 @@ def unmatched_names(named: DataFrame, name: str = "file_name", part: str = "part
     return named.where(F.col(part).isNull()).groupBy(name).agg(F.count("*").alias("n"))
 
 
-def text_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
-    """Text files as textversion rows, reading text extracted, `violations` named."""
-    matched = named_files(files).where(F.col("part").isNotNull())
+def text_rows(pairs: DataFrame, root: str) -> DataFrame:
+    """Text files (path, body, stamp_text) as textversion rows, reading text extracted, `violations` named."""
+    matched = named_files(pairs).where(F.col("part").isNotNull())
     part = F.col("part")
     rows = (
-        _with_lastmod(matched, sidecars)
+        matched.withColumn("lastmod", lastmod_of(F.col("stamp_text")))
         .withColumn("scrape_path", K.relative_path(F.col("path"), root))
         .withColumn("xml_type", K.markup_kind(F.col("scrape_path")))
         .withColumn("tv_xml", strip_spaces(F.col("body")))
@@ -138,4 +131,4 @@ def text_rows(files: DataFrame, sidecars: DataFrame, root: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, root: str) -> DataFrame:
-    return text_rows(read_files(spark, root, "*.xml"), read_sidecars(spark, root), root)
+    return text_rows(read_tree(spark, root, TEXT_NAMES), root)
