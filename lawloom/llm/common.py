@@ -32,6 +32,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a piece are about `most` bytes (one longer text is a piece)."""
     if batch.num_rows == 0:
