@@ -18,8 +18,12 @@ in ever narrower bins, so only bin counts reach the driver; ties at the border g
 
 Null and empty texts have no features and log weight 0 before noise. Labels that are null, repeated or
 belong to no document do not matter (a doc_id with contradicting labels counts as bad). Without any
-usable label all documents are kept. Repeated rows share doc_id and thus key and verdict. Extra columns are
-ignored by `score`, kept by `keep`.
+usable label all documents are kept. Rows alike in doc_id and text share key and verdict; of rows of one doc_id
+with different texts each has its own. Extra columns are ignored by `score`, kept by `keep`.
+
+Noise is added to log weights divided by a temperature, which draws by a power of the weight. At 1, the plain
+ratio, noise as large as the weights drops good documents and draws bad ones (README has figures); a filter must
+do neither, so the default is a quarter.
 """
 
 from __future__ import annotations
@@ -30,10 +34,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import bound_batches, mix, offsets_of, slices, stage, strings, unit
+from lawloom.llm.common import bound_batches, mix, offsets_of, slices, stage, strings, unit, unused
 
 #: Buckets of each family: words, pairs, shape triples. The model's size does not depend on the data.
 WORD_BUCKETS = 1 << 15
@@ -154,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np.ndar
 
 
 def log_weights(docs: DataFrame, ratio: np.ndarray, temperature: float, seed: int) -> DataFrame:
-    """doc_id, log_weight and key (whole number, log weight over temperature plus Gumbel noise)."""
+    """doc_id, content (hash of the text), log_weight and key (whole number, log weight over temperature plus noise)."""
     model = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +172,12 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, temperature: float, seed: in
                 noise = -np.log(-np.log(unit(mix(mix(ids.view(np.uint64)) ^ np.uint64(seed)))))
                 key = np.rint((weight / temperature + noise) / KEY_UNIT).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(weight), pa.array(key)], ["doc_id", "log_weight", "key"]
-                )
+                    [batch.column("doc_id"), batch.column("content"), pa.array(weight), pa.array(key)],
+                    ["doc_id", "content", "log_weight", "key"],
+                )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, log_weight double, key long"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), content(F.col("text")).alias("content"), "text").mapInArrow(
+        run, "doc_id long, content long, log_weight double, key long"
     )
 
 
@@ -226,6 +231,17 @@ def score(
     docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, temperature: float = 0.25, seed: int = 20
 ) -> DataFrame:
     """Per row: doc_id, log_weight, key, selected."""
+    return drawn(docs, labels, fit_rows, temperature, seed).drop("content")
+
+
+def content(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def drawn(
+    docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, temperature: float = 0.25, seed: int = 20
+) -> DataFrame:
+    """The rows of `score` with `content`, which with doc_id names a row's text."""
     scored = stage(log_weights(docs, fit(docs, labels, fit_rows), temperature, seed), "importance")
     border = border_of(scored, labels)
     k = scored.count() if border is None else scored.where(F.col("log_weight") >= border).count()
@@ -240,5 +256,9 @@ def score(
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The drawn rows of `docs`, with all their columns."""
-    chosen = score(docs, labels).where("selected").select("doc_id").distinct()
-    return docs.alias("d").join(chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
+    # Texts that were not drawn are as a rule the fewer.
+    out = drawn(docs, labels).where("NOT selected").select("doc_id", "content").distinct()
+    key, text = unused(docs, "key"), unused(docs, "content")
+    named = docs.withColumns({key: F.col("doc_id").cast("long"), text: content(F.col("text"))})
+    same = F.col(f"d.{key}").eqNullSafe(F.col("c.doc_id")) & (F.col(f"d.{text}") == F.col("c.content"))
+    return named.alias("d").join(out.alias("c"), same, "left_anti").select(*(F.col(f"d.`{c}`") for c in docs.columns))

@@ -11,8 +11,13 @@ from lawloom.llm.vocab import default_path, encoder
 
 
 def test_scores_equal_brute_force(spark, smoke, odd_docs):
-    docs = smoke("documents").limit(60).select("doc_id", "text").union(odd_docs.where("doc_id > 0").selectExpr("doc_id + 100000", "text"))
+    first = smoke("documents").limit(60).select("doc_id", "text")
+    odd = odd_docs.where("doc_id > 0").selectExpr("doc_id + 100000", "text")
     labels = smoke("labels")
+    # Rows of one doc_id with other texts, and rows without doc_id, whose texts belong to target documents.
+    again = first.where("doc_id IN (0, 1)").selectExpr("doc_id + 1", "text")
+    nameless = first.limit(5).selectExpr("CAST(NULL AS LONG)", "text")
+    docs = first.union(odd).union(again).union(nameless)
     got = collections.defaultdict(list)
     for r in lm_scoring.score(docs, labels).collect():
         got[r.doc_id].append(r)
@@ -34,10 +39,9 @@ def test_scores_equal_brute_force(spark, smoke, odd_docs):
             token[k][w] += n * scale[k]
             context[k][u] += n * scale[k]
     for i, ids in texts:
-        rows = got[i]
-        assert rows and all(r.n_tokens == len(ids) for r in rows)
+        assert got[i]
         if not ids:
-            assert all(r.difference is None for r in rows)
+            assert all(r.difference is None for r in got[i] if r.n_tokens == 0) and any(r.n_tokens == 0 for r in got[i])
             continue
         loss = []
         for k in (0, 1):
@@ -47,7 +51,7 @@ def test_scores_equal_brute_force(spark, smoke, odd_docs):
                 math.log((pairs[k][u, w] * scale[k] + kappa * (token[k][w] + lm_scoring.TOKEN_WEIGHT) / whole) / (context[k][u] + kappa))
                 for u, w in zip([size - 1, *ids], ids)
             ) / len(ids))
-        assert abs(rows[0].difference - (loss[1] - loss[0])) < 1e-9
+        assert any(r.n_tokens == len(ids) and abs(r.difference - (loss[1] - loss[0])) < 1e-9 for r in got[i])
     assert sum(map(len, got.values())) == docs.count()
 
 
@@ -90,3 +94,43 @@ def test_odd_rows(spark, odd_docs, smoke):
     assert quality.keep(odd_docs, labels.limit(0)).count() == odd_docs.count()
     assert quality.keep(odd_docs, labels).columns == odd_docs.columns
     assert quality.score(odd_docs.limit(0), labels).count() == 0
+
+
+def test_weights_keys_and_sample_equal_a_plain_version(spark, smoke):
+    docs, labels = smoke("documents").select("doc_id", "text"), smoke("labels")
+    got = {r.doc_id: r for r in quality.score(docs, labels, fit_rows=20).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = {i: quality.features(pa.array([t or ""], pa.large_string()))[0].tolist() for i, t in texts.items()}
+    marked = labels.where("quality = 1").selectExpr("doc_id", f"{quality.FITTED} AS fitted", "xxhash64(doc_id) AS h").collect()
+    target = [r.doc_id for r in sorted((r for r in marked if r.fitted), key=lambda r: (r.h, r.doc_id))][:20]
+    raw = collections.Counter(b for f in found.values() for b in f)
+    good = collections.Counter(b for i in target for b in found.get(i, ()))
+    family = lambda b: (b >= quality.WORD_BUCKETS) + (b >= quality.WORD_BUCKETS + quality.PAIR_BUCKETS)
+    totals = [[sum(n for b, n in c.items() if family(b) == k) for k in range(3)] for c in (raw, good)]
+    matched = lambda b: raw[b] * totals[1][family(b)] / max(totals[0][family(b)], 1)
+    ratio = lambda b: math.log(good[b] + quality.SMOOTHING) - math.log(matched(b) + quality.SMOOTHING)
+    weight = {i: sum(map(ratio, f)) / max(len(f), 1) * min(len(f), quality.EFFECTIVE) for i, f in found.items()}
+    assert all(abs(got[i].log_weight - w) < 1e-9 for i, w in weight.items())
+    noise = {i: got[i].key * quality.KEY_UNIT - w / 0.25 for i, w in weight.items()}
+    assert abs(np.mean(list(noise.values())) - 0.5772) < 0.3 and 0.8 < np.std(list(noise.values())) < 1.8  # Gumbel: 0.577, 1.28
+    again = {r.doc_id: r.key for r in quality.score(docs.limit(50), labels, temperature=1.0).collect()}
+    assert len(again) == 50
+    held = labels.where(f"NOT ({quality.FITTED})").where("quality IS NOT NULL").collect()
+    cost = lambda b: sum(quality.LOST_GOOD * (weight[r.doc_id] < b) if r.quality else weight[r.doc_id] >= b for r in held if r.doc_id in weight)
+    borders = [k * quality.BORDER_STEP for k in range(-400, 402)]
+    costs = [cost(b) for b in borders]
+    best = [b for b, c in zip(borders, costs) if c == min(costs)]
+    border = best[(len(best) - 1) // 2]
+    k = sum(w >= border for w in weight.values())
+    order = sorted(weight, key=lambda i: (-got[i].key, i))
+    assert 0 < k < len(order) and {i for i in order if got[i].selected} == set(order[:k])
+
+
+def test_rows_of_one_doc_id_are_judged_each(spark, smoke):
+    docs, labels = smoke("documents").select("doc_id", "text"), smoke("labels")
+    verdict = {r.doc_id: r.selected for r in quality.score(docs, labels).collect()}
+    bad = next(i for i, chosen in verdict.items() if not chosen)
+    good = next(i for i, chosen in verdict.items() if chosen)
+    mixed = docs.where(f"doc_id <> {bad}").union(docs.where(f"doc_id = {bad}").selectExpr(f"{good}L", "text"))
+    kept = quality.keep(mixed, labels).where(f"doc_id = {good}")
+    assert [r.text for r in kept.collect()] == [docs.where(f"doc_id = {good}").first().text]
