@@ -5,29 +5,31 @@ Generators with high recall propose spans that may overlap: exact forms of e-mai
 separators or lengths, phones without a plus). Each candidate has features of its format and of the
 words around it. Gradient boosted trees (MLlib), trained on base spans of a bounded sample together
 with rewritten (still personal) and broken (no longer personal) variants of them, give a probability;
-thresholds per kind are calibrated on held-out sources to reach PRECISION; accepted candidates that
+thresholds per kind are calibrated on held-out spans to reach PRECISION; accepted candidates that
 overlap no span of any kind are added, the most probable first.
 
-Training data: at most FIT_ROWS base spans, those with the least hashes (a documented bound of the fit;
-the search itself covers every text). Null and empty texts have no spans. Long texts are searched whole,
+Training data: at most FIT_ROWS different base spans with their contexts, those with the least hashes (a
+documented bound of the fit; the search itself covers every text). Equal spans are all held out or all
+learned from. Null and empty texts have no spans. Long texts are searched whole,
 in linear time. Repeated rows get the same spans each; other columns are kept by `redact`, ignored by
-`find`. Without any base span in the data there is nothing to learn from and nothing is added.
+`find`. Without any base span to learn from nothing is added.
 """
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
+import zlib
 from collections.abc import Iterator
 
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lawloom.llm.common import bound_batches, slices, stage, strings
 
@@ -46,14 +48,13 @@ DIGITS = re.compile(r"[0-9]+")
 
 #: Looser e-mail: what may stand for the sign, and what must follow. Searched from the sign outwards.
 SIGN = re.compile(r"(?i) ?(?:@|[(\[{] ?at ?[)\]}]) ?| at ")
-LOOSE_DOMAIN = re.compile(r"(?i)[a-z0-9-]{1,63}(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?| dot )[a-z0-9-]{2,24}){1,4}")
-LOOSE_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
+LOOSE_DOMAIN = re.compile(r"(?i)[a-z0-9-]+(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?| dot )[a-z0-9-]{2,})+")
 
 #: Looser forms with digits, by kind. Bounded repeats, so that each start costs a bounded time.
 LOOSE = (
     (1, re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|\.) ?[0-9]{1,3}){3}(?![0-9])")),
     (2, re.compile(r"(?<![0-9])[0-9](?:[ ./_–-]{0,2}[0-9]){11,18}(?![0-9])")),
-    (3, re.compile(r"(?<![0-9])(?:\+|00)?(?:[0-9]{1,3}[ .-]{1,2})?\(?[0-9]{2,4}\)?[ ./-]{1,3}[0-9]{2,4}[ .-]{1,2}[0-9]{2,4}(?![0-9])")),
+    (3, re.compile(r"(?<![0-9])(?:\+|00)?(?:[0-9]{1,3}[ .-]{1,2})?\(?[0-9]{2,4}\)?[ ./-]{1,3}[0-9]{2,4}(?:[ .-]{1,2}[0-9]{2,4}){1,4}(?![0-9])")),
 )
 NEAR_WORDS = re.compile(
     r"(?i)\b(?:e-?mail|mail|contact|phone|tel|call|fax|mobile|cell|card|visa|mastercard|amex|iban|account|ip|address|host|server|"
@@ -100,11 +101,14 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     for sign in SIGN.finditer(text):
         domain = LOOSE_DOMAIN.match(text, sign.end())
-        local = LOOSE_LOCAL.search(text[max(0, sign.start() - 64) : sign.start()]) if domain else None
-        if local:
-            out.append((0, sign.start() - len(local[0]), domain.end()))
+        start = sign.start()
+        while domain and start and LOCAL.match(text[start - 1]):
+            start -= 1
+        if start < sign.start():
+            out.append((0, start, domain.end()))
     if DIGITS.search(text):
-        out += [(kind, m.start(), m.end()) for kind, form in LOOSE for m in form.finditer(text)]
+        found = [(kind, m.start(), m.end()) for kind, form in LOOSE for m in form.finditer(text)]
+        out += [c for c in found if c[0] != 3 or sum(map(len, DIGITS.findall(text[c[1] : c[2]]))) <= 15]
     return out
 
 
@@ -182,7 +186,8 @@ def _variants(kind: int, span: str, rng: random.Random) -> list[tuple[str, int]]
         cut = lambda d: sep.join(d[i : i + 4] for i in range(0, len(d), 4))
         return [(cut(digits), 1), (cut(wrong), 0), (wrong, 0), (digits[:13] if not luhn(digits[:13]) else wrong, 0)]
     ten = digits[-10:]
-    return [(f"{ten[:3]}-{ten[3:6]}-{ten[6:]}", 1), (f"({ten[:3]}) {ten[3:6]}-{ten[6:]}", 1),
+    pairs = " ".join(ten[i : i + 2] for i in range(0, len(ten), 2))
+    return [(f"{ten[:3]}-{ten[3:6]}-{ten[6:]}", 1), (f"({ten[:3]}) {ten[3:6]}-{ten[6:]}", 1), (pairs, 1),
             (f"{rng.randint(1900, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}", 0),
             (f"{rng.randint(1, 28):02}.{rng.randint(1, 12):02}.{rng.randint(1900, 2030)}", 0),
             (f"{rng.randint(10, 99)} {rng.randint(10, 99)} {rng.randint(10, 99)}", 0)]
@@ -191,12 +196,13 @@ def _variants(kind: int, span: str, rng: random.Random) -> list[tuple[str, int]]
 def training_rows(samples: list[tuple[int, str, str]], seed: int = 7) -> list[tuple[bool, float, list[float]]]:
     """(held out, label, features) from base spans given as (kind, span, text around it)."""
     rng, out = random.Random(seed), []
-    for n, (kind, span, around) in enumerate(samples):
+    for kind, span, around in samples:
+        held = zlib.crc32(span.encode()) % 3 == 0
         at = around.find(span)
         before, after = around[:at], around[at + len(span) :]
         for form, label in [(span, 1), *_variants(kind, span, rng)]:
             features = span_features(before + form + after, kind, len(before), len(before) + len(form))
-            out.append((n % 3 == 0, float(label), features))
+            out.append((held, float(label), features))
     return out
 
 
@@ -206,11 +212,13 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS):
         rows.where(F.size("_base") > 0).select(F.explode(F.arrays_zip("_base", "_seen")).alias("x"))
         .select(F.col("x._base.k").alias("k"), (F.col("x._base.e") - F.col("x._base.s")).alias("n"),
                 F.least(F.col("x._base.s"), F.lit(CONTEXT)).alias("lead"), F.col("x._seen").alias("seen"))
-        .orderBy(F.xxhash64("k", "seen"), "k", "seen").limit(fit_rows).collect()
+        .distinct().orderBy(F.xxhash64("k", "seen"), "k", "seen", "lead", "n").limit(fit_rows).collect()
     )
     if not sample:
         return None
     data = training_rows([(r["k"], r["seen"][r["lead"] : r["lead"] + r["n"]], r["seen"]) for r in sample])
+    if all(held for held, _, _ in data):
+        return None
     spark = rows.sparkSession
     frame = spark.createDataFrame(data, "held boolean, label double, f array<double>").select(
         "held", "label", F.col("f")[0].cast("int").alias("k"), array_to_vector("f").alias("features")
@@ -228,12 +236,36 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS):
     return model, limits
 
 
+def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Base spans and the accepted candidates that overlap none before them, the most probable first."""
+    for batch in batches:
+        out = []
+        for base, more in zip(batch.column("_base").to_pylist(), batch.column("_added").to_pylist()):
+            # Bounds of what is taken, merged where base spans of two kinds overlap.
+            starts, ends = [], []
+            for x in sorted(base, key=lambda x: x["s"]):
+                if ends and x["s"] < ends[-1]:
+                    ends[-1] = max(ends[-1], x["e"])
+                else:
+                    starts.append(x["s"])
+                    ends.append(x["e"])
+            taken = list(base)
+            for x in more:
+                at = bisect.bisect_left(ends, x["s"] + 1)
+                if at == len(starts) or starts[at] >= x["e"]:
+                    starts.insert(at, x["s"])
+                    ends.insert(at, x["e"])
+                    taken.append(x)
+            out.append(sorted(taken, key=lambda x: (x["k"], x["s"], x["e"])))
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.list_(_SPAN))], ["_row", "_spans"])
+
+
 def all_spans(rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Staged proposals with `spans`: base spans and accepted candidates, by kind, then start."""
     fitted = fit(rows, fit_rows)
-    empty = F.array().cast(SPANS)
+    resolved = StructType([StructField("_row", LongType()), StructField("_spans", SPANS)])
     if fitted is None:
-        added = rows.sparkSession.createDataFrame([], f"_row long, _added {SPANS.simpleString()}")
+        added = rows.sparkSession.createDataFrame([], resolved)
     else:
         model, limits = fitted
         scored = model.transform(
@@ -242,18 +274,13 @@ def all_spans(rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
         ).withColumn("p", vector_to_array("probability")[1])
         limit = F.element_at(F.array(*[F.lit(limits[k]) for k in range(len(KINDS))]), F.col("c.k") + 1)
         best = F.array_sort(F.collect_list(F.struct((-F.col("p")).alias("q"), "c.k", "c.s", "c.e")))
-        added = stage(
+        accepted = (
             scored.where(F.col("p") >= limit).groupBy("_row")
-            .agg(F.transform(best, lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"))).alias("_added")),
-            "pii-added",
+            .agg(F.transform(best, lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"))).alias("_added"))
         )
-
-    def take(spans, x):
-        clash = F.exists(spans, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-        return F.when(clash, spans).otherwise(F.concat(spans, F.array(x)))
-
-    spans = F.array_sort(F.aggregate(F.coalesce("_added", empty), F.col("_base"), take))
-    return rows.join(added, "_row", "left").withColumn("spans", spans).drop("_added")
+        added = stage(accepted.join(rows.select("_row", "_base"), "_row").mapInArrow(_resolve, resolved), "pii-added")
+    spans = F.coalesce("_spans", F.array_sort("_base"))
+    return rows.join(added, "_row", "left").withColumn("spans", spans).drop("_spans")
 
 
 def _text(spans):
