@@ -216,11 +216,13 @@ def audit(manifest: Manifest) -> DataFrame:
     """Per leaf: its digest, the recorded roots, its proof's digest, and the root its present form folds to."""
     leaves = manifest.leaves.withColumn("block", F.floor(F.col("pos") / BLOCK))
     trees = manifest.trees
-    root = manifest.nodes.where(F.col("tree") == TOP).agg(F.max(F.struct("level", F.when(F.col("pos") == 0, F.col("digest")))).alias("r"))
-    whole = trees.agg(F.count("*").alias("trees")).crossJoin(root.select(F.col("r.col2").alias("root")))  # one row and one row
-    blocks = (
-        trees.crossJoin(F.broadcast(whole))  # each row gets that one row
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))).alias("block"))
+    number = trees.count()
+    top = manifest.nodes.where((F.col("tree") == TOP) & (F.col("pos") == 0)).agg(F.max(F.struct("level", "digest")).alias("r")).first()
+    if not number:
+        return leaves.sparkSession.createDataFrame([], AUDIT)
+    blocks = trees.select(
+        "*", F.lit(number).cast("long").alias("trees"), F.lit(top["r"]["digest"]).alias("root"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))).alias("block"),
     )
     wanted = blocks.select("tree", "block", "n", "rank", "trees").mapInArrow(_names, "tree string, block long, of string, level int, pos long")
     stored = manifest.nodes.withColumnRenamed("tree", "of")
