@@ -8,22 +8,23 @@ later than all registers. Two texts agree in a register with the probability Jac
 
 Texts with equal word sequences are one class from the start; only the least doc_id of a class takes
 part further. Bands of registers deal texts into buckets. A bucket is never expanded into all its pairs:
-its texts are compared with two pivots of it. Texts that became connected need no more comparison;
-where the texts of a bucket are still in several components, the bucket is parted by a second band, and
-again each part's texts meet its two pivots, for DEPTH second bands in turn. So large groups are connected
-by comparisons in proportion to their texts.
-
-What then still lies in several components of a bucket is compared completely: every two texts of a bucket
-and of different components, by their registers, in blocks of bounded size that spread a hot bucket over
-tasks. Pairs that agree in NEAR registers are verified, first the best few of each text (BEST, in turn), as
-links connect most of the rest, at last all pairs left. (A pair of similarity 0.8 agrees in fewer with
-probability 3e-9.) All verification is done on the whole texts; links (LEAST and above) are connected, and
-every document gets the least doc_id of its component.
-
-With 32 bands of 6 registers a pair of similarity 0.8 shares no bucket with probability 6e-5, one of
-0.85 with 3e-7. Null texts are empty. Texts without words are equal when they are the same string; texts
-of one to four words are one shingle. Rows of one doc_id count as one document: equal texts fall
-together, of different ones each gets its class. Rows without doc_id get a null class. Other columns are ignored.
+its texts are compared with two pivots of it, verified on the whole texts. Where the texts of a bucket are
+still in several components, the bucket is parted by a second band, and again each part's texts meet its two
+pivots. So large groups of copies are connected by comparisons in proportion to their texts.
+
+Buckets that still hold several components are then compared completely, each inside one task: its texts'
+shingles are put side by side, and the task gives a spanning forest of the links it verified, at most one row
+for each text. A bucket of more than PART texts is dealt out first. If all but a few of its texts are in one
+component, these few go along to each block of the component. If not, its texts are parted by further registers,
+TABLES times by HALF of them each, and so on until the parts are small; a pair of similarity 0.8 is in none of
+these parts together with probability 3e-8. Verified links (LEAST and above) are connected, and every document
+gets the least doc_id of its component. (Between texts of one part shingles are compared by 32 bits of their hashes.)
+
+With 32 bands of 6 registers a pair of similarity 0.8 shares no bucket with probability 6e-5, one of 0.85
+with 3e-7. Null texts are empty. Texts without words are equal
+when they are the same string; texts of one to four words are one shingle. A text is named by its words, so
+rows of one doc_id with different texts are documents each: both then have their own class, named by the
+least doc_id in it. Rows without doc_id get a null class. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import bound_batches, mix, slices, stage, strings, unit
+from lawloom.llm.common import bound_batches, mix, slices, stage, strings, unit, unused
 from lawloom.llm.decontam import lists
 from lawloom.llm.words import hashed_words, ngrams
 
@@ -45,13 +46,19 @@ LEAST = 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 #: Second bands by which buckets with several components are parted, one after another.
-DEPTH = 4
-#: Registers in which a pair must agree to be verified in the complete comparison.
-NEAR = 119
-#: Partners of a text that are verified in each round of the complete comparison (None: all).
-BEST = (1, 16, None)
-#: Texts of a bucket that are compared with as many others in one block, about.
-BLOCK = 256
+DEPTH = 1
+#: Texts that are compared completely at once in one task.
+PART = 4096
+#: Texts outside a bucket's largest component that may go along to each of that component's blocks.
+FEW = 256
+#: A crowded part is parted this many times, each time by so many further registers.
+TABLES, HALF = 24, ROWS // 2
+#: Shingles in so many texts of a part at most are met pair by pair, others by matrix products.
+RARE = 32
+#: Cells of a matrix of texts and shingles.
+CELLS = 1 << 22
+#: Allowance for rounding before a pair is compared exactly.
+ROUNDING = 1e-4
 #: Bits of a shingle's hash that are kept (the rest holds the text's number in a batch).
 SHINGLE_BITS = 44
 
@@ -121,7 +128,6 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingles, weights, numbers = weighted_shingles(words, counts)
             signed = signatures(shingles, weights, numbers)
             keys = band_keys(signed)
-            registers = (mix(signed) & np.uint64(255)).astype(np.uint8)
             starts = np.cumsum(counts) - counts
             names = [
                 xxhash.xxh3_128_digest(words[a : a + n].tobytes()) if n else xxhash.xxh3_128_digest(texts[i].as_py(), 1)
@@ -129,9 +135,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ]
             some = counts > 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.binary()),
-                 lists(keys[some].ravel(), np.where(some, BANDS, 0)), pa.array([r.tobytes() for r in registers], pa.binary())],
-                ["doc_id", "name", "bands", "registers"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("content"), pa.array(names, pa.binary()),
+                 lists(keys[some].ravel(), np.where(some, BANDS, 0))],
+                ["doc_id", "content", "name", "bands"],
             )
 
 
@@ -169,8 +175,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, sim) of pairs, on whole texts; written."""
     rows = (
-        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
     return stage(rows.mapInArrow(_compare, "a long, b long, sim double"), "near-sims")
@@ -194,28 +200,38 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def content(text: Column) -> Column:
+    """A text's own hash: with the doc_id it names a row's text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of its class), links_used (links of its text that the search found).
 
     `links_used` counts links the search happened to need; it is not the number of near duplicates.
     """
+    return grouped(docs).select("doc_id", F.col("lead.doc_id").alias("class_id"), "links_used")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, content, lead (doc_id and content of the class's first row, by doc_id and content), links_used."""
     spark = docs.sparkSession
     bound_batches(spark)
-    signed = stage(
-        docs.select("doc_id", "text").mapInArrow(_sign, "doc_id long, name binary, bands array<long>, registers binary"), "near-signed"
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content(F.col("text")).alias("content"), "text")
+    signed = stage(rows.mapInArrow(_sign, "doc_id long, content long, name binary, bands array<long>"), "near-signed")
     kept = signed.where("doc_id IS NOT NULL")
-    members = kept.groupBy("name").agg(F.min("doc_id").alias("node"))
-    # A doc_id that has several texts may lead several classes of equal texts: they are one node.
-    leaders = kept.join(members, "name").where("doc_id = node").select("node", "bands", "registers").distinct()
-    rows = leaders.select("node", F.explode("bands").alias("bucket"))
-    crowded = rows.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
-    wanted = rows.join(crowded.select("bucket"), "bucket", "left_semi").select("node").distinct()
+    # Equal names have equal bands. The numbers are written, so they stay what they are.
+    leaders = kept.groupBy("name").agg(F.min(F.struct("doc_id", "content")).alias("lead"), F.first("bands").alias("bands"))
+    leaders = stage(leaders.withColumn("node", F.monotonically_increasing_id()), "near-leaders")
+    placed = leaders.select("node", F.explode("bands").alias("bucket"))
+    crowded = placed.groupBy("bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
+    wanted = placed.join(crowded.select("bucket"), "bucket", "left_semi").select("node").distinct()
     # From here on: texts that share a bucket with another one.
-    nodes = stage(leaders.join(wanted, "node", "left_semi"), "near-nodes")
-    wanted = nodes.select(F.col("node").alias("doc_id")).distinct()
-    texts = stage(docs.where("doc_id IS NOT NULL").select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "near-texts")
-    labels = nodes.select("node", F.col("node").alias("label")).distinct()
+    nodes = stage(leaders.join(wanted, "node", "left_semi").select("node", "lead", "bands"), "near-nodes")
+    rows = rows.join(nodes.select("node", F.col("lead.doc_id").alias("doc_id"), F.col("lead.content").alias("content")), ["doc_id", "content"])
+    # A row may be there several times: any of them has the text.
+    texts = stage(rows.select("node", "text").dropDuplicates(["node"]), "near-texts")
+    labels = nodes.select("node", F.col("node").alias("label"))
     sims = spark.createDataFrame([], "a long, b long, sim double")
     for depth in range(DEPTH + 1):
         second = F.get("bands", F.pmod(F.col("i") + depth, F.lit(BANDS)))
@@ -239,89 +255,185 @@ def classes(docs: DataFrame) -> DataFrame:
         fresh = verify(pairs, texts)
         sims = sims.union(fresh) if depth else fresh
         labels = merged(labels, fresh.where(F.col("sim") >= LEAST))
-    for best in BEST:
-        near = stage(alike(blocks(nodes, labels), best), "near-alike")
-        if near.isEmpty():
-            break
-        pairs = stage(near.join(sims, ["a", "b"], "left_anti"), "near-pairs")
-        if pairs.isEmpty():
-            continue
-        fresh = verify(pairs, texts)
-        sims = sims.union(fresh)
-        labels = merged(labels, fresh.where(F.col("sim") >= LEAST))
-    return _result(signed, members, sims, labels)
+    links = sims.where(F.col("sim") >= LEAST).select("a", "b")
+    dealt = stage(parts(nodes, labels, texts), "near-parts")
+    if not dealt.isEmpty():
+        found = stage(compared(dealt, texts).distinct(), "near-links")
+        links = links.union(found)
+        labels = merged(labels, found)
+    return _result(signed, leaders, links, labels)
 
 
-def blocks(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Blocks x, y, members of all buckets with several components.
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of every half of a band."""
+    for whole in batches:
+        for batch in slices(whole):
+            signed = signatures(*weighted_shingles(*hashed_words(strings(batch.column("text")))))
+            rows = signed.reshape(len(signed), -1, HALF)
+            key = np.zeros(rows.shape[:2], np.uint64)
+            for k in range(HALF):
+                key = mix(key * np.uint64(31) + rows[:, :, k])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), lists(key.view(np.int64).ravel(), np.full(len(key), key.shape[1]))], ["node", "halves"]
+            )
 
-    The texts of a bucket are dealt into groups of about BLOCK, those of its largest component apart from
-    the others. A block holds two groups x and y to be compared, or one group (x = y). Groups of the largest
-    component meet only the others, so a bucket with few others has few rows, however large it is.
-    Buckets of two texts are left out: the two have met as pivot and text.
-    """
-    dealt = nodes.join(labels, "node").select("node", "label", F.explode("bands").alias("bucket"))
-    mixed = (
-        dealt.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        .groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts"))
-        .where("parts > 1 AND n > 2")
-        .select("bucket", F.col("most.label").alias("_most"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("_others"),
-                F.ceil(F.col("most.n") / BLOCK).alias("_groups"))
-    )
-    turn, others, most = F.xxhash64("node", F.lit(7)), F.col("_others"), F.col("label") == F.col("_most")
-    own = F.when(most, others + F.pmod(turn, "_groups")).otherwise(F.pmod(turn, others))
-    last = F.when(most, others).otherwise(others + F.col("_groups")) - 1
-    grouped = (
-        dealt.join(mixed, "bucket")
-        .select("bucket", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
-        .select("bucket", "node", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-        .join(nodes.select("node", "registers"), "node")
-    )
-    return grouped.groupBy("bucket", "x", "y").agg(
-        F.collect_list(F.struct("own", "node", "label", "registers")).alias("members")
-    ).select("x", "y", "members")
+
+def parts(nodes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """(part, block, node, label): what is left to be compared, dealt into parts of a bounded number of texts."""
+    dealt = nodes.join(labels, "node").select("node", "label", F.posexplode("bands").alias("band", "part"))
+    number, out, halves, used = REGISTERS // HALF, None, None, 0
+    while True:
+        counted = dealt.groupBy("part", "label").agg(F.count("*").alias("n")).groupBy("part").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("_labels")
+        )
+        # The texts of a part that go along to all its blocks: those outside the largest component, if they are
+        # few; all of them when there are no registers left to part them by.
+        few = (F.col("n") - F.col("most.n") <= FEW) | F.lit(used + TABLES > number - 2)
+        # Two texts of a bucket have met as pivot and text.
+        mixed = counted.where("_labels > 1 AND n > 2").select(
+            "part", F.col("most.label").alias("_most"), (F.col("n") > PART).alias("_large"), few.alias("_few"),
+            F.ceil(F.col("n") / PART).alias("_blocks"),
+        )
+        dealt = stage(dealt.join(mixed, "part"), "near-dealt")
+        own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_blocks"))
+        spread = F.when(F.col("label") == F.col("_most"), F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
+        ready = dealt.where("NOT _large").select("part", F.lit(0).cast("long").alias("block"), "node", "label").union(
+            dealt.where("_large AND _few").select("part", F.explode(spread).alias("block"), "node", "label")
+        )
+        out = ready if out is None else out.union(ready)
+        hot = dealt.where("_large AND NOT _few").select("node", "label", "band", "part")
+        if hot.isEmpty():
+            return out
+        if halves is None:
+            crowd = hot.select("node").distinct()
+            halves = stage(texts.join(crowd, "node", "left_semi").mapInArrow(_halves, "node long, halves array<long>"), "near-halves")
+        # Halves after the two of the part's own band, each used once on the way.
+        turns = F.explode(F.sequence(F.lit(used), F.lit(used + TABLES - 1))).alias("t")
+        half = F.get("halves", F.pmod(2 * F.col("band") + 2 + F.col("t"), F.lit(number)))
+        dealt = hot.join(halves, "node").select("node", "label", "band", "part", "halves", turns).select(
+            "node", "label", "band", F.xxhash64("part", "t", half).alias("part")
+        )
+        used += TABLES
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per node its shingles (32 bits each) and, if any is repeated, their weights."""
+    for whole in batches:
+        for batch in slices(whole):
+            shingles, weights, counts = weighted_shingles(*hashed_words(strings(batch.column("text"))))
+            short = (shingles >> np.uint64(SHINGLE_BITS - 32)).astype(np.uint32)
+            ends = np.cumsum(counts)
+            cut = [slice(a, b) for a, b in zip((ends - counts).tolist(), ends.tolist())]
+            heavy = [weights[c].astype(np.float32).tobytes() if (weights[c] > 1).any() else None for c in cut]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([short[c].tobytes() for c in cut], pa.binary()), pa.array(heavy, pa.binary())],
+                ["node", "shingles", "weights"],
+            )
 
 
-def alike(rows: DataFrame, best: int | None) -> DataFrame:
-    """(a, b) of different components that agree in NEAR registers: all of them, or each text's `best` ones."""
+def compared(dealt: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): in every part and block a spanning forest of the links between its components."""
+    wanted = dealt.select("node").distinct()
+    data = stage(
+        texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_shingled, "node long, shingles binary, weights binary"),
+        "near-shingles",
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
         for batch in batches:
-            members = batch.column("members")
-            ends = np.cumsum(members.value_lengths().to_numpy())
-            own, node, label, registers = members.flatten().flatten()
-            own, node, label = own.to_numpy(), node.to_numpy(), label.to_numpy()
-            registers = np.frombuffer(b"".join(registers.to_pylist()), np.uint8).reshape(-1, REGISTERS)
-            starts = np.r_[0, ends[:-1]]
-            for x, y, p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), starts, ends):
-                left, right = p + np.flatnonzero(own[p:q] == x), p + np.flatnonzero(own[p:q] == y)
-                agree = np.stack([np.count_nonzero(registers[right] == registers[i], axis=1) for i in left]) if len(left) else np.zeros((0, len(right)), int)
-                agree[label[left][:, None] == label[right]] = 0
-                i, j = np.nonzero(agree >= NEAR)
-                if best is not None and len(i):
-                    i, j = foremost(agree, i, j, best)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[left[i]]), pa.array(node[right[j]]), pa.array(agree[i, j].astype(np.int32))], ["a", "b", "agree"]
-                )
-
-    found = rows.mapInArrow(run, "a long, b long, agree int")
-    if best is not None:
-        both = found.union(found.select("b", "a", "agree")).distinct()
-        rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("agree"), F.xxhash64("a", "b")))
-        found = both.withColumn("_rank", rank).where(F.col("_rank") <= best)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def foremost(agree: np.ndarray, i: np.ndarray, j: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the cells (i, j), those among the `best` of their row or of their column."""
-    keep = np.zeros(len(i), bool)
-    for line in (i, j):
-        order = np.lexsort((-agree[i, j], line))
-        ordered = line[order]
-        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-        keep[order[rank < best]] = True
-    return i[keep], j[keep]
+            columns = [batch.column(c).to_pylist() for c in ("part", "block", "node", "label", "shingles", "weights")]
+            found = []
+            for part, block, *row in zip(*columns):
+                if (part, block) != key:
+                    found += forest(held)
+                    key, held = (part, block), []
+                held.append(row)
+            yield _pairs(found)
+        yield _pairs(forest(held))
+
+    keys = ["part", "block"]
+    rows = dealt.join(data, "node").select(*keys, "node", "label", "shingles", "weights")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    low, high = zip(*(sorted(p) for p in found)) if found else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["a", "b"])
+
+
+def closeness(sets: list[np.ndarray], roots: list[np.ndarray]) -> np.ndarray:
+    """Sums of products of the roots over shared shingles, for all pairs of texts of a part."""
+    n = len(sets)
+    text = np.repeat(np.arange(n), [len(x) for x in sets])
+    shingle = np.concatenate(sets)
+    order = np.argsort(shingle, kind="stable")
+    text, shingle, root = text[order], shingle[order], np.concatenate(roots)[order].astype(np.float32)
+    first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+    times = np.diff(np.r_[first, len(shingle)])
+    column, often = np.repeat(np.arange(len(first)), times), np.repeat(times, times)
+    out = np.zeros((n, n), np.float32)
+    rare = np.flatnonzero(often <= RARE)
+    for shift in range(1, RARE):
+        if shift >= len(rare):
+            break
+        same = column[rare[shift:]] == column[rare[:-shift]]
+        if not same.any():
+            break
+        i, j = rare[:-shift][same], rare[shift:][same]
+        np.add.at(out, (text[i], text[j]), root[i] * root[j])
+    out += out.T
+    common = np.flatnonzero(times > RARE)
+    step = max(1, CELLS // n)
+    for a in range(0, len(common), step):
+        some = common[a : a + step]
+        place = np.full(len(first), -1)
+        place[some] = np.arange(len(some))
+        at = place[column]
+        matrix = np.zeros((n, len(some)), np.float32)
+        matrix[text[at >= 0], at[at >= 0]] = root[at >= 0]
+        out += matrix @ matrix.T
+    return out
+
+
+def forest(rows: list[list]) -> list[tuple[int, int]]:
+    """Links between the components of one part: rows are [node, label, shingles, weights].
+
+    The sum of roots bounds the probability Jaccard from above; without repeated shingles it gives the plain
+    Jaccard. Pairs that pass are compared exactly, unless their components are connected already.
+    """
+    if len(rows) < 2 or all(r[1] == rows[0][1] for r in rows):
+        return []
+    sets = [np.frombuffer(r[2], np.uint32) for r in rows]
+    weights = [np.ones(len(x)) if r[3] is None else np.frombuffer(r[3], np.float32).astype(float) for x, r in zip(sets, rows)]
+    total = np.array([w.sum() for w in weights])
+    close = closeness(sets, [np.sqrt(w / t) for w, t in zip(weights, total)])
+    plain = np.array([r[3] is None for r in rows])
+    component = np.unique([r[1] for r in rows], return_inverse=True)[1]
+    out = []
+    for i in range(len(rows)):
+        bound = close[i].astype(float)
+        shared = bound * np.sqrt(total[i] * total)
+        bound = np.where(plain & plain[i], shared / np.maximum(total[i] + total - shared, 1e-9), bound)
+        bound[component == component[i]] = 0
+        while True:
+            j = int(bound.argmax())
+            if bound[j] < LEAST - ROUNDING:
+                break
+            if _jaccard(sets[i], weights[i], sets[j], weights[j]) >= LEAST:
+                out.append((rows[i][0], rows[j][0]))
+                component[component == component[j]] = component[i]
+                bound[component == component[i]] = 0
+            else:
+                bound[j] = 0
+    return out
+
+
+def _jaccard(a: np.ndarray, u: np.ndarray, b: np.ndarray, v: np.ndarray) -> float:
+    """As `probability_jaccard`; two shingles of one text may have the same short hash."""
+    a, first = np.unique(a, return_index=True)
+    b, other = np.unique(b, return_index=True)
+    return probability_jaccard((a, u[first]), (b, v[other]))
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -335,25 +447,33 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stage(labels.join(joined, "label", "left").select("node", F.coalesce("_new", "label").alias("label")), "near-labels")
 
 
-def _result(signed: DataFrame, members: DataFrame, sims: DataFrame, labels: DataFrame) -> DataFrame:
-    links = sims.where(F.col("sim") >= LEAST).select("a", "b").distinct()
-    number = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links_used"))
+def _result(signed: DataFrame, leaders: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    number = links.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links_used"))
+    # Only texts of one component with others need to look for its first row.
+    first = labels.join(leaders.select("node", "lead"), "node").groupBy("label").agg(F.min("lead").alias("_first"))
+    placed = labels.join(first, "label").select("node", "_first")
     named = (
-        members.join(labels, "node", "left").join(number, "node", "left")
-        .select("name", F.coalesce("label", "node").alias("class_id"), F.coalesce("links_used", F.lit(0)).cast("long").alias("links_used"))
+        leaders.select("name", "node", "lead").join(placed, "node", "left").join(number, "node", "left")
+        .select("name", F.coalesce("_first", "lead").alias("lead"), F.coalesce("links_used", F.lit(0)).cast("long").alias("links_used"))
     )
-    out = signed.where("doc_id IS NOT NULL").select("doc_id", "name").join(named, "name").select("doc_id", "class_id", "links_used")
-    return out.unionByName(
-        signed.where("doc_id IS NULL").select(
-            "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("links_used")
-        )
+    out = signed.where("doc_id IS NOT NULL").select("doc_id", "content", "name").join(named, "name")
+    nameless = signed.where("doc_id IS NULL").select(
+        "doc_id", "content", F.lit(None).cast("struct<doc_id:bigint,content:bigint>").alias("lead"), F.lit(0).cast("long").alias("links_used")
     )
+    return out.select("doc_id", "content", "lead", "links_used").unionByName(nameless)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` with one document of each class: the one whose doc_id names it. Rows without doc_id stay."""
-    lead = classes(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return (
-        docs.where("doc_id IS NOT NULL").join(lead, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        .unionByName(docs.where("doc_id IS NULL"))
-    )
+    """`docs` with one row of each class: the first by doc_id and text hash. Rows without doc_id stay.
+
+    Of rows alike in doc_id and text the one with the least hash of its other columns stays. Different
+    texts of one doc_id are documents each.
+    """
+    lead = grouped(docs).where("doc_id = lead.doc_id AND content = lead.content")
+    key, hashed, turn = (unused(docs, name) for name in ("key", "content", "turn"))
+    lead = lead.select(F.col("doc_id").alias(key), F.col("content").alias(hashed)).distinct()
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy(key, hashed).orderBy(F.xxhash64(F.to_json(F.struct(F.lit(0).alias("_"), *others))))
+    named = docs.where("doc_id IS NOT NULL").withColumns({key: F.col("doc_id").cast("long"), hashed: content(F.col("text"))})
+    kept = named.join(lead, [key, hashed], "left_semi").withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1)
+    return kept.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.where("doc_id IS NULL"))
