@@ -5,27 +5,32 @@ one vocabulary, the tokenizer's, with the same smoothing; the background's count
 target's number of tokens, so that smoothing weighs alike in both. A document's score is the mean over
 its tokens of (target loss - background loss): the lower, the more like the target.
 
-Documents are dealt into blocks by doc_id. Each block counts its distinct bigrams; counts are summed per
-bigram over all blocks by a shuffle, and each block gets back the sums of just its own bigrams, with which
-it scores its documents. So no model is held whole anywhere: a task holds one block's texts and bigrams.
-Only counts per token of the vocabulary are broadcast. All documents and all labels are counted.
-
-Null and empty texts have no tokens, and null scores. A doc_id with contradicting labels is not target.
-Repeated rows are scored and counted each. Without target documents both models are the background and
-all scores are 0. Further columns are ignored.
+Texts are encoded once, into a written table of token ids; both passes read that. Its rows are dealt into
+blocks by a row number, so rows of one doc_id lie in many blocks. Each block counts its distinct bigrams; counts
+are summed per bigram over all blocks, in each task first, and each block gets back the sums of just its own
+bigrams, with which it scores its documents. So no model is held whole anywhere: a task holds one block's
+tokens and bigrams. Only counts per token of the vocabulary are broadcast. All documents and all labels are
+counted.
+
+Null and empty texts have no tokens, and null scores. A doc_id with contradicting labels is not target, nor is a
+row without doc_id. Repeated rows are scored and counted each. Without target documents both models are the
+background and all scores are 0. Further columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.common import bound_batches, stage, strings
+from lawloom.llm.common import bound_batches, offsets_of, slices, stage, strings
 from lawloom.llm.vocab import default_path, encoder
 
-BLOCK_CHARS = 16 << 20
+#: Tokens of a block, about.
+BLOCK_TOKENS = 4 << 20
 #: Weight of the unigram model in each context, and added to each token's count there.
 CONTEXT_WEIGHT = 20.0
 TOKEN_WEIGHT = 0.1
@@ -34,26 +39,29 @@ COUNTS = "block long, pair long, n_all long, n_target long"
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
 
 
-def tokens_of(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """Pairs (token before, token) of texts as numbers, each text's count, and the base of the numbers.
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id and token ids (bytes of the encoder's type) of every text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path, ordinary_specials=True)
+        for whole in batches:
+            for batch in slices(whole):
+                ids = enc.encode(strings(batch.column("text")).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    The first token of a text has the base - 1 before it.
-    """
-    enc = encoder(path, ordinary_specials=True)
-    base = len(enc.ends) + 1
-    ids = []
-    for a in range(0, len(texts), 500):
-        ids += enc.encode(texts.slice(a, 500).to_pylist())
-    counts = np.fromiter((len(i) // enc.dtype.itemsize for i in ids), np.int64, len(ids))
-    flat = np.frombuffer(b"".join(ids), enc.dtype).astype(np.int64)
-    before = np.r_[base - 1, flat[:-1]] if len(flat) else flat
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    before[starts] = base - 1
-    return before * base + flat, counts, base
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
-def _text(table: pa.Table) -> pa.Array:
-    return strings(table.column("text").combine_chunks())
+def bigrams(ids: pa.ChunkedArray, dtype: np.dtype, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (token before, token) of texts as numbers to `base`, and each text's number of tokens.
+
+    The first token of a text has base - 1 before it.
+    """
+    column = ids.combine_chunks()
+    counts = np.diff(offsets_of(column)).astype(np.int64) // dtype.itemsize
+    flat = np.frombuffer(b"".join(column.to_pylist()), dtype).astype(np.int64)
+    before = np.r_[base - 1, flat[:-1]] if len(flat) else flat
+    before[(np.cumsum(counts) - counts)[counts > 0]] = base - 1
+    return before * base + flat, counts
 
 
 def score(docs: DataFrame, labels: DataFrame, path: str | None = None) -> DataFrame:
@@ -61,29 +69,31 @@ def score(docs: DataFrame, labels: DataFrame, path: str | None = None) -> DataFr
     path = path or default_path()
     spark = docs.sparkSession
     bound_batches(spark)
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_CHARS))
-    block = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(blocks)).alias("block")
-    dealt = docs.select(block, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    enc = encoder(path, ordinary_specials=True)
+    dtype, base = enc.dtype, len(enc.ends) + 1
     good = (
-        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.min("quality").alias("quality")).where("quality = 1")
-        .select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id")
+        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("key"))
+        .agg(F.min("quality").alias("quality")).where("quality = 1").select("key", F.lit(True).alias("hit"))
     )
-
-    def count(texts: pa.Table, marked: pa.Table) -> pa.Table:
-        pairs, counts, _ = tokens_of(_text(texts), path)
-        ids = texts.column("doc_id").fill_null(-1).to_numpy()
-        known = ~texts.column("doc_id").is_null().to_numpy()
-        target = np.repeat(np.isin(ids, marked.column("doc_id").to_numpy()) & known, counts)
+    # Rows without doc_id are spread by their tokens and meet no label.
+    keyed = encoded(docs, path).withColumn("key", F.coalesce("doc_id", F.xxhash64("ids")))
+    joined = keyed.join(good, "key", "left").select(
+        "doc_id", "ids", (F.col("hit").isNotNull() & F.col("doc_id").isNotNull()).alias("target"), F.monotonically_increasing_id().alias("row")
+    )
+    rows = stage(joined, "lm-ids")
+    size = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (BLOCK_TOKENS * dtype.itemsize)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+
+    def count(texts: pa.Table) -> pa.Table:
+        pairs, counts = bigrams(texts.column("ids"), dtype, base)
+        target = np.repeat(texts.column("target").to_numpy(), counts)
         seen, at = np.unique(pairs, return_inverse=True)
         n_all = np.bincount(at, minlength=len(seen))
         n_target = np.bincount(at[target], minlength=len(seen))
-        where = texts.column("block")[0].as_py() if len(texts) else 0
-        return pa.table({"block": np.full(len(seen), where), "pair": seen, "n_all": n_all, "n_target": n_target})
+        return pa.table({"block": np.full(len(seen), texts.column("block")[0].as_py()), "pair": seen, "n_all": n_all, "n_target": n_target})
 
-    counted = stage(dealt.groupBy("block").cogroup(good.groupBy("block")).applyInArrow(count, COUNTS), "lm-counts")
-    base = len(encoder(path, ordinary_specials=True).ends) + 1
+    counted = stage(dealt.select("block", "target", "ids").groupBy("block").applyInArrow(count, COUNTS), "lm-counts")
     # At most one row per token of the vocabulary, and one for the start.
     of_token, of_context = np.zeros((2, base)), np.zeros((2, base))
     for name, table in (("pair % {}", of_token), ("pair div {}", of_context)):
@@ -100,14 +110,12 @@ def score(docs: DataFrame, labels: DataFrame, path: str | None = None) -> DataFr
     single = of_token * scale + TOKEN_WEIGHT
     single /= single.sum(axis=1, keepdims=True)
     shared = spark.sparkContext.broadcast((single, of_context * scale, scale, use_all))
-    each = Window.partitionBy("pair")
-    sums = counted.select(
-        "block", "pair", F.sum("n_all").over(each).alias("n_all"), F.sum("n_target").over(each).alias("n_target")
-    )
+    totals = counted.groupBy("pair").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
+    sums = counted.select("block", "pair").join(totals, "pair").select("block", "pair", "n_all", "n_target")
 
     def judge(texts: pa.Table, own: pa.Table) -> pa.Table:
         single, contexts, scale, use_all = shared.value
-        pairs, counts, base = tokens_of(_text(texts), path)
+        pairs, counts = bigrams(texts.column("ids"), dtype, base)
         keys = own.column("pair").to_numpy()
         order = np.argsort(keys)
         at = order[np.searchsorted(keys, pairs, sorter=order)] if len(pairs) else np.zeros(0, np.int64)
@@ -126,4 +134,4 @@ def score(docs: DataFrame, labels: DataFrame, path: str | None = None) -> DataFr
              "difference": difference}
         )
 
-    return dealt.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(judge, SCORES)
+    return dealt.select("block", "doc_id", "ids").groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(judge, SCORES)
