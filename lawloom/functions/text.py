@@ -176,10 +176,11 @@ def _depths(kinds: Column, block: int = DEPTH_BLOCK) -> Column:
     return F.when(F.size(kinds) > 0, made).otherwise(ints)
 
 
-def children(xml: Column, depth: int = 1) -> Column:
-    """Elements whose parent lies at `depth` (the root is at depth 1), in document order.
+def scanned(xml: Column, depth: int = 1) -> Column:
+    """One pass over a document's tokens: struct<children, is_balanced>.
 
-    Gives array<struct<name, text>>. Elements that never close are left out; `is_balanced` tells.
+    `children` are the elements whose parent lies at `depth` (the root is at depth 1), in document order, as
+    array<struct<name, text>>; elements that never close are left out, which `is_balanced` tells.
     """
     def body(tk: Column, kind: Column, dep: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(tk) - 1)
@@ -202,11 +203,20 @@ def children(xml: Column, depth: int = 1) -> Column:
             ),
         )
 
+    def whole(tk: Column, kind: Column, dep: Column) -> Column:
+        return F.struct(body(tk, kind, dep).alias("children"), (F.get(dep, F.size(dep) - 1) == 0).alias("is_balanced"))
+
     found = bind(
         tokens(xml),
-        lambda tk: bind(F.transform(tk, _kind), lambda kind: bind(_depths(kind), lambda dep: body(tk, kind, dep))),
+        lambda tk: bind(F.transform(tk, _kind), lambda kind: bind(_depths(kind), lambda dep: whole(tk, kind, dep))),
     )
-    return F.when(F.length(xml) > 0, found).otherwise(F.array().cast("array<struct<name:string,text:string>>"))
+    none = F.array().cast("array<struct<name:string,text:string>>").alias("children")
+    return F.when(F.length(xml) > 0, found).otherwise(F.struct(none, F.when(xml.isNotNull(), True).alias("is_balanced")))
+
+
+def children(xml: Column, depth: int = 1) -> Column:
+    """The children that `scanned` gives."""
+    return scanned(xml, depth)["children"]
 
 
 def child_names(xml: Column, depth: int = 1) -> Column:

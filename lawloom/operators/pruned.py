@@ -125,6 +125,8 @@ def nearest_pruned(
     bounded = asked.join(ranked, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(FARTHEST)))
     more = cut_lineage(bounded.mapInArrow(wanted, dealt))
     found = first.unionByName(meet(more, corpus_rows, out, k, skip_self))
-    made = home.select("n").unionByName(more.select("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("compared"))
-    report = asked.agg((F.count("*") * total).alias("pairs")).join(F.broadcast(made), F.lit(True))
+    made = home.select("n", F.lit(0).alias("q")).unionByName(more.select("n", F.lit(0).alias("q")))
+    report = made.unionByName(asked.select(F.lit(0).cast("long").alias("n"), F.lit(1).alias("q"))).agg(
+        (F.coalesce(F.sum("q"), F.lit(0)) * total).alias("pairs"), F.coalesce(F.sum("n"), F.lit(0)).alias("compared")
+    )
     return N._top(found, k), report

@@ -271,10 +271,9 @@ def q_text_sections(spark, d):
           replace(array_to_string({_LINES}, ' '), chr(160), ' '), ' {{2,}}', ' ', 'g')) ELSE '' END AS text, true AS is_balanced FROM documents""",
 )
 def q_text_root_children(spark, d):
-    xml = F.col("tv_xml")
-    return I.text_documents(I.wide(spark, d, "documents")).select(
-        "doc_id", X.bill_text(xml).alias("text"), X.is_balanced(xml).alias("is_balanced")
-    )
+    # Through one-element rows, so that text and balance come from one scan.
+    docs = I.text_documents(I.wide(spark, d, "documents")).select("doc_id", F.inline(F.array(X.scanned(F.col("tv_xml")))))
+    return docs.select("doc_id", X.text_of_children(F.col("children")).alias("text"), "is_balanced")
 
 
 # ---- chunks ----

@@ -43,6 +43,12 @@ def select_splits(df: DataFrame, splits: Sequence, column: str = "congress_num")
     return df.where(F.col(column).isin(*splits))
 
 
+def chosen_splits(df: DataFrame, wanted: DataFrame, column: str = "congress_num") -> DataFrame:
+    """Rows of the splits that a filtered table names; on a table partitioned by `column` the planner reads
+    only those, though they are known only when it runs."""
+    return df.join(wanted.select(column), column, "left_semi")
+
+
 def union_splits(parts: Sequence[DataFrame]) -> DataFrame:
     """Frames kept apart, put together by column name."""
     whole = parts[0]

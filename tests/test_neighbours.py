@@ -84,3 +84,25 @@ def test_embedding_with_a_model(spark):
 
     df = spark.createDataFrame([(1, "abc"), (2, "a")], "i int, text string")
     assert {r["i"]: r["vec"] for r in embed_with(df, make, partitions=2).collect()} == {1: [3.0, 1.0], 2: [1.0, 1.0]}
+
+
+def test_retrieval_by_text_equals_brute_force(spark):
+    from lawloom.operators import chunking
+    from lawloom.plans import document_queries as Q
+    from pyspark.sql import functions as F
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("doc_id").cast("string").alias("tv_id"), "text")
+    chunks = chunking.explode_chunks(docs, chunking.recursive_chunks(F.col("text"), 1024, 256))
+    corpus = {r["chunk_id"]: r["vec"] for r in embed_hashing(chunks.select("chunk_id", "text")).collect()}
+    items = spark.read.parquet(f"{folder}/benchmark.parquet").select(F.col("item_id").cast("string").alias("query_id"), "text")
+    asked = {r["query_id"]: r["vec"] for r in embed_hashing(as_questions(items)).collect()}
+    unit = lambda rows: (lambda m: m / np.linalg.norm(m, axis=1, keepdims=True))(np.array(list(rows), float))
+    scores, names = np.round(unit(asked.values()) @ unit(corpus.values()).T, 9), list(corpus)
+    want = {}
+    for row, query in zip(scores, asked):
+        best = sorted(zip(-row, names))[:16]
+        want |= {(query, rank): (name, round(-score, 6)) for rank, (score, name) in enumerate(best, 1)}
+    got = {(r["query_id"], r["rank"]): (r["neighbour_id"], round(r["score"], 6)) for r in Q.q_retrieve_text(spark, folder).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k][1] - want[k][1]) < 2e-6 for k in want) and sum(got[k][0] == want[k][0] for k in want) >= 0.99 * len(want)

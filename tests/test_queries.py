@@ -11,11 +11,12 @@ FOLDER = entry.SMOKE_FOLDER
 # Queries with Python in tasks: text splitting and vector scoring.
 PYTHON = {
     "q_chunk_recursive", "q_chunk_recursive_2048", "q_retrieve_text", "q_knn_by_id", "q_cosine_topk", "q_retrieve_topk",
-    "q_knn_filtered", "q_knn_cells", "q_knn_cells_all", "q_neighbor_rows", "q_rag_context",
+    "q_knn_filtered", "q_knn_cells", "q_knn_cells_all", "q_neighbor_rows", "q_rag_context", "q_knn_codes", "q_knn_recall",
+    "q_knn_all_pruned",
 }
 # Totals: the result is one row (per branch), summed from partial counts.
-TOTALS = {"q_join_preserves_rows", "q_key_uniqueness", "q_skipped_count"}
-MODELS = {"q_topic_cluster", "q_pca_2d"}
+TOTALS = {"q_join_preserves_rows", "q_key_uniqueness", "q_skipped_count", "q_observed_checks", "q_pca_axes", "q_topic_nesting"}
+MODELS = {"q_topic_cluster", "q_pca_2d", "q_pca_axes", "q_topic_nesting"}
 
 
 @pytest.fixture(scope="module")

@@ -243,6 +243,13 @@ def test_indexed_pages(spark, tmp_path):
     assert pages.page_of(spark, str(tmp_path / "none"), order, 0, 5).count() == 0
 
 
+def test_only_wanted_splits_are_read(spark):
+    fixed = plan(Q.q_pruned_splits(spark, FOLDER))
+    assert "PartitionFilters: [month#" in fixed and "IN (2,3)" in fixed.split("PartitionFilters")[1]
+    joined = plan(Q.q_splits_of_join(spark, FOLDER))
+    assert "dynamicpruning" in joined.split("PartitionFilters")[1]
+
+
 # ---- profiles and checks ----
 
 def test_sketches_of_splits_unite(spark, tmp_path):

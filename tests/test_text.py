@@ -77,3 +77,20 @@ def test_broken_documents_are_named(spark):
     df = spark.createDataFrame(list(texts.items()), "name string, xml string")
     got = {r["name"]: r["bad"] for r in df.select("name", X.is_malformed(F.col("xml")).alias("bad")).collect()}
     assert got == {"cut": True, "mistagged": True, "good": False}
+
+
+def test_one_scan_gives_children_and_balance(spark):
+    docs = ["<a><b>x</b><c/></a>", "<a><b>x</b>", "", None, "plain", "<?xml version='1.0'?><!DOCTYPE a><a>t<b/></a>"]
+    df = spark.createDataFrame([(d,) for d in docs], "xml string")
+    xml = F.col("xml")
+    rows = df.select(X.scanned(xml).alias("s"), X.children(xml).alias("c"), X.is_balanced(xml).alias("b")).collect()
+    assert all(r["s"]["children"] == r["c"] and r["s"]["is_balanced"] == r["b"] for r in rows)
+    one = df.select(F.inline(F.array(X.scanned(xml)))).select(X.text_of_children(F.col("children")), "is_balanced")
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(xml") == 1
+
+
+def test_tags_of_several_parents(spark):
+    from lawloom.operators.profile import tag_counts
+
+    df = spark.createDataFrame([("<r><bill><a/><b>x</b></bill><other><z/></other><bill x='1'><a>y</a></bill></r>",), ("<r/>",)], "xml string")
+    assert {r["tag"]: r["n"] for r in tag_counts(df, "xml", "bill").collect()} == {"a": 2, "b": 1}
