@@ -4,13 +4,13 @@ A word's vector is its length and, for each of 16 groups of letters, how many of
 the group. One inserted, deleted or replaced code point changes a vector by at most one more in one group
 (surplus) and one less in one group (deficit). Words stand in a trie by successive entries of their vectors;
 a depth-first search goes down with all words that look for partners there, each with a surplus and a
-deficit of one to spend. Words that meet in a leaf are verified letter by letter.
+deficit of one to spend. Words that meet in a leaf are verified letter by letter. Of two words the later one
+seeks: the longer, or of equally long ones that with the greater vector, then in code-point order.
 
 The top of the trie deals words to tasks: a part is a node at a depth chosen so that the fullest holds at
 most PART_WORDS words (the depth only deals work out; results are the same at every depth). If even whole
 vectors are shared by more words, such a part is split into blocks and its searchers go to each. A word
-searches the parts it can reach with its budget, in one direction: shorter words, and equally long ones
-before it in (top of vector, word) order, so each near pair is found once, in the task of one of the two.
+searches the parts it can reach with its budget, so each near pair is found once, in the task of one of the two.
 Tasks give no pairs: per word they give how many near words were found and the best of them.
 
 Words are counted in each task first, then by a shuffle. Null texts have no words. The runs of rows without
@@ -34,6 +34,8 @@ from lawloom.llm.common import bound_batches, mix, slices, stage
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 SHORTEST, LEAST_N = 7, 2
+#: Words of SHORTEST letters and more that are one edit apart share so many letters at one end at least.
+ENDS = (SHORTEST - 1) // 2
 #: One of so many (document, run) pairs loses a letter.
 ALTERED = 31
 #: A word's form is at least so many times as frequent.
@@ -41,11 +43,14 @@ FORM_TIMES = 10
 #: Letter groups: code point modulo 16, in the order in which the trie looks at them.
 GROUPS = 16
 ORDER = (5, 1, 9, 2, 4, 3, 14, 15, 12, 13, 0, 7, 8, 6, 11, 10)
+MOST_IN_A_BYTE = 100
+#: Candidates that are verified at once.
+VERIFIED = 1 << 18
 #: Depths of the trie's top that are tried, and words of a part at most.
 DEPTHS = (0, 2, 4, 6, 8, 12, 16)
 PART_WORDS = 60_000
 #: Words of a trie node that are compared at once.
-LEAF = 12
+LEAF = 24
 #: Cells of letters, or of vectors, that are compared at once.
 CELLS = 1 << 21
 #: Distinct words a task holds while it counts.
@@ -111,6 +116,19 @@ class Words:
         counts = np.bincount(cells, minlength=len(self.lengths) * GROUPS).reshape(-1, GROUPS)
         self.vectors = np.column_stack([self.lengths, counts]).astype(np.int32)
 
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last ENDS letters of every word, as numbers. Words have at least so many."""
+        step = np.arange(ENDS)
+        weight = 256**step
+        last = (self.starts + self.lengths)[:, None] - 1 - step
+        return self.codes[self.starts[:, None] + step] @ weight, self.codes[last] @ weight
+
+    def columns(self, rows: slice | np.ndarray) -> list[np.ndarray]:
+        """The vectors of some words by columns: lengths, then counts, in one byte each where all counts allow it."""
+        some = self.vectors[rows]
+        kind = np.int8 if self.vectors[:, 1:].max(initial=0) <= MOST_IN_A_BYTE else np.int32
+        return [np.ascontiguousarray(some[:, 0]), *np.ascontiguousarray(some[:, 1:].T).astype(kind)]
+
 
 def node_key(top: np.ndarray) -> np.ndarray:
     """A 64-bit name of trie nodes, given as rows of vector entries."""
@@ -156,46 +174,65 @@ def reachable(top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidates(homes: np.ndarray, seekers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(seeker, home) pairs whose vectors differ by at most one surplus and one deficit.
+    """(seeker, home) pairs whose vectors a single edit can have made, the seeker being the later of the two.
 
-    `homes` is in lexicographic order, so a trie node is a range of its rows. The search is depth first;
-    a node is visited once, with all seekers that still can afford it.
+    Both are given by columns, homes in lexicographic order, so a trie node is a range of them. The search is
+    depth first; a node is visited once, with all seekers that can still afford it. Of a shorter home a seeker
+    has one letter more and none less. Of an equally long one it has one more in some group and one less in a
+    later group, or as many in all.
     """
-    columns = homes.shape[1]
-    nobody = np.zeros(len(seekers), bool)
-    stack = [(0, len(homes), 0, np.arange(len(seekers)), nobody, nobody)]
+    columns = len(homes)
+    length = seekers[0]
+    everyone = np.arange(len(length))
+    stack = []
+    lengths = np.flatnonzero(np.r_[True, homes[0][1:] != homes[0][:-1], True])
+    for low, high in zip(lengths[:-1].tolist(), lengths[1:].tolist()):
+        for shorter in (False, True):
+            who = everyone[length == homes[0][low] + shorter]
+            # Nothing spent yet; a deficit may be spent after the surplus only, of a shorter home never.
+            stack.append((low, high, 1, who, np.zeros(len(who), bool), np.full(len(who), shorter)))
     while stack:
         low, high, depth, who, over, under = stack.pop()
-        if not len(who) or low == high:
+        if not len(who):
             continue
         if high - low <= LEAF or depth == columns:
-            step = max(1, CELLS // ((high - low) * columns))
+            step = max(1, CELLS // (high - low))
             for a in range(0, len(who), step):
-                some, plus, minus = who[a : a + step], over[a : a + step].astype(int), under[a : a + step].astype(int)
-                least = max(depth, 1)
-                apart = seekers[some][:, None, least:] - homes[None, low:high, least:]
-                fits = np.maximum(apart, 0).sum(axis=2) + plus[:, None] <= 1
-                fits &= np.maximum(-apart, 0).sum(axis=2) + minus[:, None] <= 1
-                if depth == 0:
-                    longer = seekers[some, 0][:, None] - homes[None, low:high, 0]
-                    fits &= (longer == 0) | (longer == 1)
+                some, spent, barred = who[a : a + step], over[a : a + step, None], under[a : a + step, None]
+                fits = np.ones((len(some), high - low), bool)
+                plus, minus = np.broadcast_to(spent, fits.shape).copy(), np.broadcast_to(barred, fits.shape).copy()
+                for column in range(depth, columns):
+                    apart = seekers[column][some][:, None] - homes[column][None, low:high]
+                    more, less = apart == 1, apart == -1
+                    fits &= (apart == 0) | (more & ~plus) | (less & plus & ~minus)
+                    plus |= more
+                    minus |= less
                 i, j = np.nonzero(fits)
                 if len(i):
                     yield some[i], low + j
             continue
-        column = homes[low:high, depth]
-        cuts = np.flatnonzero(np.r_[True, column[1:] != column[:-1], True])
-        mine = seekers[who, depth]
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        column = homes[depth][low:high]
+        cuts = np.flatnonzero(np.r_[True, column[1:] != column[:-1], True]).tolist()
+        mine = seekers[depth][who]
+        for a, b in zip(cuts[:-1], cuts[1:]):
             apart = mine - column[a]
-            if depth == 0:  # lengths: the two below decide what is spent
-                keep = np.flatnonzero((apart == 0) | (apart == 1))
-                stack.append((low + a, low + b, 1, who[keep], over[keep], under[keep]))
-                continue
-            keep = np.flatnonzero((apart == 0) | ((apart == 1) & ~over) | ((apart == -1) & ~under))
+            more, less = apart == 1, apart == -1
+            keep = np.flatnonzero((apart == 0) | (more & ~over) | (less & over & ~under))
             if len(keep):
-                step = apart[keep]
-                stack.append((low + a, low + b, depth + 1, who[keep], over[keep] | (step == 1), under[keep] | (step == -1)))
+                stack.append((low + a, low + b, depth + 1, who[keep], (over | more)[keep], (under | less)[keep]))
+
+
+def gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs in batches of about VERIFIED."""
+    held, number = [], 0
+    for pair in pairs:
+        held.append(pair)
+        number += len(pair[0])
+        if number >= VERIFIED:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, number = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
 
 
 def one_edit(words: Words, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -230,42 +267,38 @@ def one_edit(words: Words, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return near
 
 
-def _search(depth: int):
-    def run(homes: pa.Table, seekers: pa.Table) -> pa.Table:
-        empty = pa.table({"word": pa.array([], pa.string()), "n_near": pa.array([], pa.int64()), "best_n": pa.array([], pa.int64()), "best": pa.array([], pa.string())})
-        if not homes.num_rows or not seekers.num_rows:
-            return empty
-        text = pa.concat_arrays([homes.column("word").combine_chunks(), seekers.column("word").combine_chunks()])
-        n = np.r_[homes.column("n").to_numpy(), seekers.column("n").to_numpy()]
-        words, number = Words(text), homes.num_rows
-        by_word = pc.rank(text, tiebreaker="dense").to_numpy().astype(np.int64)
-        top = words.vectors[:, 1 : depth + 1]
-        order = np.lexsort((by_word, *top.T[::-1]))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        sorted_homes = np.lexsort(words.vectors[:number].T[::-1])
-        ends, others = [], []
-        for who, where in candidates(words.vectors[:number][sorted_homes], words.vectors[number:]):
-            a, b = who + number, sorted_homes[where]
-            longer = words.lengths[a] > words.lengths[b]
-            right = (by_word[a] != by_word[b]) & (longer | (rank[a] > rank[b]))
-            a, b = a[right], b[right]
-            near = one_edit(words, a, b)
-            ends.append(np.r_[a[near], b[near]])
-            others.append(np.r_[b[near], a[near]])
-        if not ends:
-            return empty
-        end, other = np.concatenate(ends), np.concatenate(others)
-        # A word may stand here as a home and as a seeker.
-        order = np.lexsort((by_word[other], -n[other], by_word[end]))
-        end, other = end[order], other[order]
-        first = np.flatnonzero(np.r_[True, by_word[end[1:]] != by_word[end[:-1]]]) if len(end) else np.zeros(0, np.int64)
-        return pa.table(
-            {"word": text.take(pa.array(end[first])), "n_near": np.diff(np.r_[first, len(end)]),
-             "best_n": n[other[first]], "best": text.take(pa.array(other[first]))}
-        )
-
-    return run
+def _search(homes: pa.Table, seekers: pa.Table) -> pa.Table:
+    empty = pa.table({"word": pa.array([], pa.string()), "n_near": pa.array([], pa.int64()), "best_n": pa.array([], pa.int64()), "best": pa.array([], pa.string())})
+    if not homes.num_rows or not seekers.num_rows:
+        return empty
+    text = pa.concat_arrays([homes.column("word").combine_chunks(), seekers.column("word").combine_chunks()])
+    n = np.r_[homes.column("n").to_numpy(), seekers.column("n").to_numpy()]
+    words, number = Words(text), homes.num_rows
+    by_word = pc.rank(text, tiebreaker="dense").to_numpy().astype(np.int64)
+    sorted_homes = np.lexsort(words.vectors[:number].T[::-1])
+    head, tail = words.ends()
+    ends, others = [], []
+    for who, where in gathered(candidates(words.columns(sorted_homes), words.columns(slice(number, None)))):
+        a, b = who + number, sorted_homes[where]
+        likely = (head[a] == head[b]) | (tail[a] == tail[b])
+        a, b = a[likely], b[likely]
+        # Of two words with one vector the later one seeks.
+        right = (by_word[a] > by_word[b]) | (words.vectors[a] != words.vectors[b]).any(axis=1)
+        a, b = a[right], b[right]
+        near = one_edit(words, a, b)
+        ends.append(np.r_[a[near], b[near]])
+        others.append(np.r_[b[near], a[near]])
+    if not ends:
+        return empty
+    end, other = np.concatenate(ends), np.concatenate(others)
+    # A word may stand here as a home and as a seeker.
+    order = np.lexsort((by_word[other], -n[other], by_word[end]))
+    end, other = end[order], other[order]
+    first = np.flatnonzero(np.r_[True, by_word[end[1:]] != by_word[end[:-1]]]) if len(end) else np.zeros(0, np.int64)
+    return pa.table(
+        {"word": text.take(pa.array(end[first])), "n_near": np.diff(np.r_[first, len(end)]),
+         "best_n": n[other[first]], "best": text.take(pa.array(other[first]))}
+    )
 
 
 def chosen_depth(words: DataFrame) -> int:
@@ -319,7 +352,7 @@ def near_words(words: DataFrame, depth: int | None = None) -> DataFrame:
     )
     keys = ["part", "block"]
     found = homes.groupBy(*keys).cogroup(seekers.groupBy(*keys)).applyInArrow(
-        _search(depth), "word string, n_near long, best_n long, best string"
+        _search, "word string, n_near long, best_n long, best string"
     )
     best = F.min(F.struct((-F.col("best_n")).alias("m"), "best"))
     return (
