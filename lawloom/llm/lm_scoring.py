@@ -7,8 +7,7 @@ its tokens of (target loss - background loss): the lower, the more like the targ
 
 Texts are encoded once, into a written table of token ids; both passes read that. Its rows are dealt into
 blocks by a row number, so rows of one doc_id lie in many blocks. Each block counts its distinct bigrams; counts
-are summed per bigram over all blocks, in each task first, and each block gets back the sums of just its own
-bigrams, with which it scores its documents. So no model is held whole anywhere: a task holds one block's
+are summed per bigram over all blocks by a shuffle, and each block gets back the sums of just its own bigrams, with which it scores its documents. So no model is held whole anywhere: a task holds one block's
 tokens and bigrams. Only counts per token of the vocabulary are broadcast. All documents and all labels are
 counted.
 
@@ -23,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawloom.llm.common import bound_batches, offsets_of, slices, stage, strings
@@ -110,8 +109,11 @@ def score(docs: DataFrame, labels: DataFrame, path: str | None = None) -> DataFr
     single = of_token * scale + TOKEN_WEIGHT
     single /= single.sum(axis=1, keepdims=True)
     shared = spark.sparkContext.broadcast((single, of_context * scale, scale, use_all))
-    totals = counted.groupBy("pair").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-    sums = counted.select("block", "pair").join(totals, "pair").select("block", "pair", "n_all", "n_target")
+    # One shuffle for sums and rows alike; a pair has a row for each block at most.
+    each = Window.partitionBy("pair")
+    sums = counted.select(
+        "block", "pair", F.sum("n_all").over(each).alias("n_all"), F.sum("n_target").over(each).alias("n_target")
+    )
 
     def judge(texts: pa.Table, own: pa.Table) -> pa.Table:
         single, contexts, scale, use_all = shared.value
