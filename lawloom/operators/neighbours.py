@@ -28,7 +28,8 @@ BROADCAST_QUERIES = 4_096
 QUERY_BLOCK = 4_096
 CORPUS_SLICE = 65_536
 SCORE_DIGITS = 9  # scores equal to this many digits are ties, broken by id
-_ROWS_AT_ONCE = 512
+# Columns and scores of a tile: 16 MB of scores, whatever the sizes of block and slice.
+_COLUMNS_AT_ONCE, _SCORES_AT_ONCE = 4_096, 2 << 20
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -45,28 +46,84 @@ def _sortable(ids: np.ndarray) -> np.ndarray:
     return ids.astype(str) if ids.dtype == object else ids
 
 
+class Best:
+    """The best k rows of each query among those given so far, ties by id.
+
+    Scores are made in tiles of bounded size, and what is kept of a tile is at most a few rows per query, however
+    many rows tie. `floor`: a score that a query's rows must reach at least.
+    """
+
+    def __init__(self, q_ids: np.ndarray, q_vecs: np.ndarray, k: int, skip_self: bool, floor: np.ndarray | None = None):
+        self.q_ids, self.q_vecs, self.k, self.skip_self = q_ids, q_vecs, k, skip_self
+        self.floor = np.full(len(q_ids), -np.inf) if floor is None else floor.copy()
+        self.parts, self.waiting = [], 0
+
+    def add(self, at: np.ndarray, ids: np.ndarray, vecs: np.ndarray, allowed: np.ndarray | None = None) -> None:
+        """Rows, ascending by id, for the queries at positions `at`; `allowed` (those by rows) leaves pairs out."""
+        for left in range(0, len(ids), _COLUMNS_AT_ONCE):
+            cols = slice(left, left + _COLUMNS_AT_ONCE)
+            step = max(1, _SCORES_AT_ONCE // len(ids[cols]))
+            for top in range(0, len(at), step):
+                rows = slice(top, top + step)
+                self._tile(at[rows], ids[cols], vecs[cols], None if allowed is None else allowed[rows, cols])
+
+    def _tile(self, at: np.ndarray, ids: np.ndarray, vecs: np.ndarray, allowed: np.ndarray | None) -> None:
+        scores = self.q_vecs[at] @ vecs.T
+        if self.skip_self:
+            asked = self.q_ids[at]
+            low = np.searchsorted(ids, asked)
+            n = np.where(asked == asked, np.searchsorted(ids, asked, "right") - low, 0)
+            scores[np.repeat(np.arange(len(at)), n), np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)] = -np.inf
+        if allowed is not None:
+            scores[~allowed] = -np.inf
+        floor = self.floor[at]
+        # What rounding may lift to the floor is taken along and rounded below.
+        hit = scores >= (floor - 10.0**-SCORE_DIGITS - 1e-15 * np.abs(np.where(np.isfinite(floor), floor, 0)))[:, None]
+        if np.count_nonzero(hit) > 4 * self.k * len(at):
+            np.round(scores, SCORE_DIGITS, out=scores)
+            scores[~np.isfinite(scores)] = -np.inf
+            n = scores.shape[1]
+            if n > self.k:
+                floor = np.maximum(floor, np.partition(scores, n - self.k, axis=1)[:, n - self.k])
+            hit = scores > floor[:, None]
+            tied = scores == floor[:, None]
+            hit |= tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= (self.k - hit.sum(axis=1))[:, None])
+        rows, cols = np.nonzero(hit)
+        found = np.round(scores[rows, cols], SCORE_DIGITS) + 0.0
+        good = np.isfinite(found) & (found >= floor[rows])
+        if good.any():
+            self.parts.append((at[rows[good]], ids[cols[good]], found[good]))
+            self.waiting += int(good.sum())
+        if self.waiting > self.k * len(self.q_ids) // 2:
+            self._merge()
+
+    def _merge(self) -> None:
+        rows, found, scores = (np.concatenate(p) for p in zip(*self.parts))
+        order = np.lexsort((found, -scores, rows))
+        rows, found, scores = rows[order], found[order], scores[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        last = place == self.k - 1
+        self.floor[rows[last]] = np.maximum(self.floor[rows[last]], scores[last])
+        kept = place < self.k
+        self.parts, self.waiting = [(rows[kept], found[kept], scores[kept])], 0
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query position, id, score), by position, score and id."""
+        if not self.parts:
+            return np.zeros(0, np.int64), self.q_ids[:0], np.zeros(0)
+        self._merge()
+        return self.parts[0]
+
+
 def _best(q_ids, q_vecs, ids, vecs, k: int, skip_self: bool, allowed: np.ndarray | None = None):
     """(query position, id, score) of the best k rows per query, ties by id.
 
     `allowed` (queries by rows) leaves the other pairs out.
     """
-    out = []
-    for lo in range(0, len(q_ids), _ROWS_AT_ONCE):
-        block = slice(lo, lo + _ROWS_AT_ONCE)
-        scores = np.round(q_vecs[block] @ vecs.T, SCORE_DIGITS) + 0.0
-        if skip_self:
-            scores[q_ids[block][:, None] == ids[None, :]] = -np.inf
-        if allowed is not None:
-            scores[~allowed[block]] = -np.inf
-        n = scores.shape[1]
-        floor = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(scores), -np.inf)
-        rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-        order = np.lexsort((ids[cols], -scores[rows, cols], rows))
-        rows, cols = rows[order], cols[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        rows, cols = rows[place < k], cols[place < k]
-        out.append((rows + lo, ids[cols], scores[rows, cols]))
-    return tuple(np.concatenate(parts) for parts in zip(*out))
+    order = np.argsort(ids, kind="stable")
+    best = Best(q_ids, q_vecs, k, skip_self)
+    best.add(np.arange(len(q_ids)), ids[order], vecs[order], None if allowed is None else allowed[:, order])
+    return best.result()
 
 
 def _scan(batches: Iterator[pa.RecordBatch], held, k: int, size: int, cosine: bool, skip_self: bool,

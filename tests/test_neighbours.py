@@ -106,3 +106,23 @@ def test_retrieval_by_text_equals_brute_force(spark):
     got = {(r["query_id"], r["rank"]): (r["neighbour_id"], round(r["score"], 6)) for r in Q.q_retrieve_text(spark, folder).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k][1] - want[k][1]) < 2e-6 for k in want) and sum(got[k][0] == want[k][0] for k in want) >= 0.99 * len(want)
+
+
+def test_scoring_holds_tiles_not_whole_blocks():
+    """A block of queries against a slice of many rows, most of them copies: bounded memory, ties by id."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(40_000, 4))
+    rows[1_000:] = rows[7]
+    ids = rng.permutation(40_000)
+    asked = np.arange(600)
+    tracemalloc.start()
+    at, found, scores = N._best(asked, rows[np.argsort(ids)[asked]], ids, rows, 5, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    full = np.round(rows[np.argsort(ids)[asked[::50]]] @ rows.T, 9)
+    for query, line in zip(asked[::50], full):
+        best = [(i, s) for s, i in sorted(zip(-line, ids)) if i != query][:5]
+        assert [(i, -s) for i, s in zip(found[at == query], scores[at == query])] == best
