@@ -25,7 +25,8 @@ from lawloom.functions.vectors import unit
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_QUERIES = 4_096
-QUERY_BLOCK = 4_096
+# A block of queries meets a slice of the corpus in one task; the corpus is copied once for each block.
+QUERY_BLOCK = 16_384
 CORPUS_SLICE = 65_536
 SCORE_DIGITS = 9  # scores equal to this many digits are ties, broken by id
 # Columns and scores of a tile: 16 MB of scores, whatever the sizes of block and slice.
@@ -240,7 +241,9 @@ def nearest(
         if not len(held[0]):
             return spark.createDataFrame([], T.StructType([*out.fields, T.StructField("rank", T.IntegerType())]))
         return scan_rows(rows, held, out, k, cosine, skip_self)
-    blocks = max(1, -(-asked.count() // (QUERY_BLOCK // 2)))
+    number = asked.count()
+    # Few queries: blocks enough for all cores.
+    blocks = max(1, -(-number // (QUERY_BLOCK // 2)), min(spark.sparkContext.defaultParallelism, number // 1_024))
     slices = max(1, -(-rows.count() // (CORPUS_SLICE // 2)))
 
     def spread_over(df: DataFrame, own: str, n_own: int, other: str, n_other: int, key: str) -> DataFrame:
