@@ -5,6 +5,10 @@ nearest of some centres and there to a ring of distances from it: a slice. A que
 of its own centre, which bounds how far its k-th neighbour can be. From a query's distance to a centre follows
 how near any row of a ring can come; slices that cannot come within the bound are left out, all others are
 searched. The result is that of the full comparison; how much of it was made is reported.
+
+Queries of near centres lie in blocks, neighbouring slices in blocks of the corpus, both of bounded size; a block
+of queries meets a block of the corpus in one task, if any of its queries wants any slice there. So a query is
+copied once for each block of the corpus it looks into at most, never for each slice.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MOST_CENTRES, RINGS = 1_024, 8
 #: Rows of a slice, about, as far as centres suffice.
 SLICE_ROWS = 4_096
+#: Queries whose slices are chosen at once in a task.
+ROUTED_AT_ONCE = 512
 #: Greatest distance of two unit vectors, and what rounding may take from a bound.
 FARTHEST, SLACK = 2.0, 1e-6
 
@@ -41,6 +47,13 @@ def _away(vecs: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
+def _floors(batch: pa.RecordBatch) -> np.ndarray | None:
+    """The score of each query's k-th row so far, none as minus infinity; None before the first search."""
+    if "floor" not in batch.schema.names:
+        return None
+    return batch.column("floor").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+
+
 def placed(rows: DataFrame, key: str, centres) -> DataFrame:
     """Rows with their centre and their distance from it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,22 +69,25 @@ def placed(rows: DataFrame, key: str, centres) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def meet(left: DataFrame, right: DataFrame, out: T.StructType, k: int, skip_self: bool) -> DataFrame:
-    """The best k between queries and rows of the same slice, in blocks of bounded size on both sides."""
-    def sizes(df: DataFrame, name: str, most: int) -> DataFrame:
-        return df.groupBy("slice").agg(F.ceil(F.count("*") / most).alias(name))
+def packed(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, number of blocks) of each of some groups in turn: small ones share a block, large ones take several."""
+    parts = np.maximum(1, -(-sizes // most))
+    first, block, room = np.zeros(len(sizes), np.int64), -1, 0
+    for i, size in enumerate(sizes):
+        if parts[i] > 1 or size > room:
+            block, room = block + 1, most
+        first[i] = block
+        block, room = block + parts[i] - 1, room - size if parts[i] == 1 else 0
+    return first, parts
 
-    both = sizes(left, "qbs", N.QUERY_BLOCK // 2).join(sizes(right, "css", N.CORPUS_SLICE // 2), "slice")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n))
-    keys = ["slice", "qb", "cs"]
-    asked = left.join(both, "slice").select("query_id", "vec", "slice", own("query_id", "qbs").alias("qb"), all_of("css").alias("cs"))
-    rows = right.join(both, "slice").select("neighbour_id", "vec", "slice", own("neighbour_id", "css").alias("cs"), all_of("qbs").alias("qb"))
 
-    def block(queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
-        return N._block(queries, corpus, k, True, skip_self)
-
-    return asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(block, out)
+def _dealt(rows: DataFrame, group: str, id_: str, groups: np.ndarray, first: np.ndarray, parts: np.ndarray, name: str) -> DataFrame:
+    """Rows with the block that their group, and in large groups their id, falls to. At most MOST_CENTRES x RINGS groups."""
+    table = rows.sparkSession.createDataFrame(
+        pa.table({"__g": pa.array(groups, pa.int64()), "__first": pa.array(first, pa.int64()), "__parts": pa.array(parts, pa.int64())})
+    )
+    own = (F.col("__first") + F.pmod(F.xxhash64(id_), F.col("__parts"))).alias(name)
+    return rows.join(F.broadcast(table), F.col(group) == F.col("__g")).select(*rows.columns, own)
 
 
 def nearest_pruned(
@@ -93,40 +109,85 @@ def nearest_pruned(
     widest = near.groupBy("centre").agg(F.max("away").alias("most"), F.min("away").alias("least"))
     ring = F.least(F.floor((F.col("away") - F.col("least")) / (F.col("most") - F.col("least") + 1e-12) * RINGS), F.lit(RINGS - 1))
     kept = cut_lineage(near.join(widest, "centre").withColumn("slice", (F.col("centre") * RINGS + ring).cast("long")).drop("most", "least"))
-    # At most MOST_CENTRES x RINGS rows.
-    table = kept.groupBy("slice").agg(F.min("away").alias("low"), F.max("away").alias("high"), F.count("*").alias("n")).toArrow()
-    bounds = spark.sparkContext.broadcast([table.column(c).to_numpy() for c in ("slice", "low", "high", "n")])
-    corpus_rows = kept.select("slice", "neighbour_id", "vec")
-
-    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Slices that a query must search: those of its centre, or, given its bound, what else may hold a neighbour."""
-        slices, low, high, size = bounds.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            away = _away(_vectors(batch.column("vec")), shared.value)
-            to = away[:, slices // RINGS]
-            mine = (slices // RINGS)[None, :] == away.argmin(axis=1)[:, None]
-            if "bound" in batch.schema.names:
-                least = np.maximum(np.maximum(to - high, low - to), 0)
-                mine = ~mine & (least <= batch.column("bound").to_numpy()[:, None] + SLACK)
-            row, col = np.nonzero(mine)
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("query_id").take(at), batch.column("vec").take(at), pa.array(slices[col]), pa.array(size[col])],
-                ["query_id", "vec", "slice", "n"],
-            )
-
-    dealt = T.StructType([*asked.schema.fields]).add("slice", "long").add("n", "long")
-    home = cut_lineage(asked.mapInArrow(wanted, dealt))
-    first = cut_lineage(meet(home, corpus_rows, out, k, skip_self))
+    # At most MOST_CENTRES x RINGS rows, in the order of slices.
+    table = kept.groupBy("slice").agg(F.min("away").alias("low"), F.max("away").alias("high"), F.count("*").alias("n")).toArrow().sort_by("slice")
+    slices, low, high, size = (table.column(c).to_numpy() for c in ("slice", "low", "high", "n"))
+    first, parts = packed(size, N.CORPUS_SLICE // 2)
+    corpus_rows = _dealt(kept, "slice", "neighbour_id", slices, first, parts, "cs").select("slice", "neighbour_id", "vec", "cs")
+    # Each slice once for each of its blocks, in the order of blocks.
+    entry = np.repeat(np.arange(len(slices)), parts)
+    entry_block = np.repeat(first, parts) + np.arange(len(entry)) - np.repeat(np.cumsum(parts) - parts, parts)
+    starts = np.flatnonzero(np.r_[True, entry_block[1:] != entry_block[:-1]])
+    bounds = spark.sparkContext.broadcast((slices, low, high, size, entry, starts))
+
+    # Queries of near centres in blocks: at most MOST_CENTRES rows tell how many each has.
+    homes = placed(asked, "query_id", shared).withColumnRenamed("centre", "home").drop("away")
+    per_home = homes.groupBy("home").count().toArrow().sort_by("home")
+    blocks = packed(per_home.column("count").to_numpy(), N.QUERY_BLOCK // 2)
+    homes = _dealt(homes, "home", "query_id", per_home.column("home").to_numpy(), *blocks, "qb")
+
+    def wanted(vecs: np.ndarray, home: np.ndarray, floor: np.ndarray | None, some: np.ndarray) -> np.ndarray:
+        """Which of some slices (places in the table) each query must search: those of its centre, or, given the
+        score of its k-th row so far, what else may hold a neighbour."""
+        slices, low, high, *_ = bounds.value
+        centre = slices[some] // RINGS
+        mine = centre[None, :] == home[:, None]
+        if floor is None:
+            return mine
+        held, at = np.unique(centre, return_inverse=True)
+        to = _away(vecs, shared.value[held])[:, at]
+        bound = np.where(np.isfinite(floor), np.sqrt(np.maximum(2 - 2 * (floor - 10.0**-N.SCORE_DIGITS), 0)), FARTHEST)
+        return ~mine & (np.maximum(to - high[some], low[some] - to) <= (bound + SLACK)[:, None])
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries with the blocks of the corpus they must go to, and the number of rows they meet there."""
+        *_, size, entry, starts = bounds.value
+        every = np.arange(len(size))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROUTED_AT_ONCE):
+                batch = whole.slice(at, ROUTED_AT_ONCE)
+                floor = _floors(batch)
+                mine = wanted(_vectors(batch.column("vec")), batch.column("home").to_numpy(), floor, every)
+                go = np.logical_or.reduceat(mine[:, entry], starts, axis=1)
+                ends = np.r_[0, np.cumsum(go.sum(axis=1))].astype(np.int32)
+                to = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(go)[1].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, to, pa.array(mine @ size)], [*batch.schema.names, "to", "n"])
+
+    def block(asking: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        """The best k between a block of queries and one of the corpus, slice by slice."""
+        if asking.empty or rows.empty:
+            return pd.DataFrame(columns=["query_id", "neighbour_id", "score"])
+        q_ids, ids = N._sortable(asking["query_id"].to_numpy()), N._sortable(rows["neighbour_id"].to_numpy())
+        q_vecs, vecs = (N._unit_rows(np.stack(df["vec"].to_numpy()).astype(np.float64)) for df in (asking, rows))
+        floor = asking["floor"].to_numpy() if "floor" in asking else None
+        order = np.lexsort((ids, rows["slice"].to_numpy()))
+        ids, vecs, own = ids[order], vecs[order], rows["slice"].to_numpy()[order]
+        begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        some = np.searchsorted(bounds.value[0], own[begins])
+        known = None if floor is None else np.where(np.isnan(floor), -np.inf, floor)
+        mine = wanted(q_vecs, asking["home"].to_numpy(), known, some)
+        best = N.Best(q_ids, q_vecs, k, skip_self, known)
+        for a, b, col in zip(begins, np.r_[begins[1:], len(own)], mine.T):
+            if col.any():
+                best.add(np.flatnonzero(col), ids[a:b], vecs[a:b])
+        at, found, scores = best.result()
+        return pd.DataFrame({"query_id": q_ids[at], "neighbour_id": found, "score": scores})
+
+    def searched(asking: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The best k of each query in its wanted slices; and the queries with what they meet."""
+        sent = cut_lineage(asking.mapInArrow(routed, T.StructType([*asking.schema.fields]).add("to", T.ArrayType(T.LongType())).add("n", "long")))
+        # One row for each block of queries and block of the corpus that meet: both are of bounded size.
+        pairs = sent.select(F.col("qb").alias("block"), F.explode("to").alias("cs")).distinct()
+        left = sent.drop("n").withColumn("cs", F.explode("to")).drop("to").groupBy("qb", "cs")
+        right = corpus_rows.join(F.broadcast(pairs), "cs").groupBy("block", "cs")
+        return left.cogroup(right).applyInPandas(block, out), sent.select("n")
+
+    first_found, first_met = searched(homes)
+    first_found = cut_lineage(first_found)
     # The k-th best so far; a query that has not found k may find the rest anywhere.
-    ranked = N._top(first, k).where(F.col("rank") == k).select("query_id", F.sqrt(F.greatest(2 - 2 * F.col("score"), F.lit(0.0))).alias("bound"))
-    bounded = asked.join(ranked, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(FARTHEST)))
-    more = cut_lineage(bounded.mapInArrow(wanted, dealt))
-    found = first.unionByName(meet(more, corpus_rows, out, k, skip_self))
-    made = home.select("n", F.lit(0).alias("q")).unionByName(more.select("n", F.lit(0).alias("q")))
-    report = made.unionByName(asked.select(F.lit(0).cast("long").alias("n"), F.lit(1).alias("q"))).agg(
+    ranked = N._top(first_found, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    more_found, more_met = searched(homes.join(ranked, "query_id", "left"))
+    report = first_met.select("n", F.lit(1).alias("q")).unionByName(more_met.select("n", F.lit(0).alias("q"))).agg(
         (F.coalesce(F.sum("q"), F.lit(0)) * total).alias("pairs"), F.coalesce(F.sum("n"), F.lit(0)).alias("compared")
     )
-    return N._top(found, k), report
+    return N._top(first_found.unionByName(more_found), k), report

@@ -360,6 +360,29 @@ def test_pruned_search_is_exact(spark, spread):
     assert pairs == 500 * 1500 and 0 < compared <= pairs and (spread > 1 or compared < pairs / 4)
 
 
+def test_pruned_search_copies_no_query_for_each_slice(spark, monkeypatch):
+    """Spread vectors rule no slice out; what is kept grows with the queries, not with queries times slices."""
+    counts, cut = [], pruned.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(pruned, "cut_lineage", counted)
+    vecs = np.random.default_rng(4).normal(size=(600, 16)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id long, vec array<float>")
+    got, report = pruned.nearest_pruned(rows, rows, 5, slice_rows=4)
+    assert got.count() == 3_000
+    assert max(counts) <= 5 * 600
+    assert report.first()["compared"] <= report.first()["pairs"]
+
+
+def test_groups_are_packed_into_blocks_of_bounded_size():
+    first, parts = pruned.packed(np.array([3, 4, 25, 2, 8, 1]), 10)
+    assert first.tolist() == [0, 0, 1, 4, 4, 5] and parts.tolist() == [1, 1, 3, 1, 1, 1]
+
+
 def test_pruned_search_of_few(spark):
     rows = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(4)], "vec_id long, vec array<float>")
     assert pruned.nearest_pruned(rows, rows, 5)[0].count() == 12
