@@ -16,6 +16,13 @@ def wide(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return table(spark, folder, name).repartition(spark.sparkContext.defaultParallelism)
 
 
+def spread(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table over all cores: a large one is by its scan and is not moved, a small one is dealt out."""
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _escaped(text: Column) -> Column:
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(char), F.lit(entity))

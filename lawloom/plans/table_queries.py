@@ -331,7 +331,7 @@ def _unified_rows(unified):
           {_stamp('lastmod')} AS lastmod, url, 'v' || CAST(n AS VARCHAR) AS type FROM placed""",
 )
 def q_unified(spark, d):
-    bills, texts = I.order_bills(I.wide(spark, d, "orders")), I.lineitem_texts(I.wide(spark, d, "lineitem"))
+    bills, texts = I.order_bills(I.spread(spark, d, "orders")), I.lineitem_texts(I.spread(spark, d, "lineitem"))
     return _unified_rows(unify.unify(bills, texts, "text_versions"))
 
 
@@ -341,7 +341,7 @@ def q_unified(spark, d):
           {_stamp('lastmod')} AS lastmod, url, 'v' || CAST(n AS VARCHAR) AS type, txt AS tv_txt FROM placed""",
 )
 def q_unified_with_text(spark, d):
-    bills, texts = I.order_bills(I.wide(spark, d, "orders")), I.lineitem_texts(I.wide(spark, d, "lineitem"))
+    bills, texts = I.order_bills(I.spread(spark, d, "orders")), I.lineitem_texts(I.spread(spark, d, "lineitem"))
     unified = unify.unify(bills, texts, "text_versions", text_columns=("tv_txt",))
     return _unified_rows(unified).withColumn("tv_txt", F.trim(F.replace("tv_txt", F.lit("\n"), F.lit(" "))))
 
@@ -362,7 +362,7 @@ def q_explode_array(spark, d):
     f"""WITH {_MATCHED} SELECT legis_id, url, txt AS text FROM placed WHERE pos = 0 AND txt <> ''""",
 )
 def q_latest_text(spark, d):
-    bills, texts = I.order_bills(I.wide(spark, d, "orders")), I.lineitem_texts(I.wide(spark, d, "lineitem"))
+    bills, texts = I.order_bills(I.spread(spark, d, "orders")), I.lineitem_texts(I.spread(spark, d, "lineitem"))
     newest = unify.newest_version(bills, texts, "text_versions").withColumn("tvs", F.array("tv"))
     return splits.drop_empty_text(splits.text_rows(newest)).select("legis_id", "url", "text")
 
