@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +18,8 @@ from lawloom.operators.numbering import number_within
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_TYPE = "array<struct<text:string,start_index:int>>"
+#: Characters of the texts that are split at once in a task, about.
+SPLIT_AT_ONCE = 1 << 20
 DOC_FIELDS = (
     "tv_id", "legis_version", "legis_class", "legis_id", "congress_num", "legis_type", "legis_num", "text_date",
 )
@@ -104,6 +106,32 @@ def split_text(text: str, size: int, overlap: int, seps: Sequence[str] = SEPARAT
     return chunks
 
 
+def split_batch(texts: pa.Array, size: int, overlap: int, seps: Sequence[str] = SEPARATORS) -> Iterator[pa.Array]:
+    """Chunks of each text, in arrays of about SPLIT_AT_ONCE characters of text (one longer text is an array)."""
+    pieces: list[str] = []
+    starts: list[int] = []
+    ends, absent = [0], []
+    room = SPLIT_AT_ONCE
+
+    def made() -> pa.Array:
+        chunk = pa.StructArray.from_arrays([pa.array(pieces, pa.string()), pa.array(starts, pa.int32())], ["text", "start_index"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), chunk, mask=pa.array(absent, pa.bool_()))
+
+    for value in texts:
+        text = value.as_py()
+        for piece, start in split_text(text or "", size, overlap, seps):
+            pieces.append(piece)
+            starts.append(start)
+        ends.append(len(pieces))
+        absent.append(text is None)
+        room -= len(text or "")
+        if room <= 0:
+            yield made()
+            pieces, starts, ends, absent, room = [], [], [0], [], SPLIT_AT_ONCE
+    if absent:
+        yield made()
+
+
 def recursive_chunks(text: Column, size: int, overlap: int, seps: Sequence[str] = SEPARATORS) -> Column:
     """Chunks of a text column, split at the most preferred separator that occurs and packed to size.
 
@@ -114,11 +142,10 @@ def recursive_chunks(text: Column, size: int, overlap: int, seps: Sequence[str]
         raise ValueError("overlap must be smaller than size")
     seps = tuple(seps)
 
-    @F.pandas_udf(CHUNK_TYPE)
-    def chunks(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None if t is None else [{"text": c, "start_index": s} for c, s in split_text(t, size, overlap, seps)]
-        )
+    @F.arrow_udf(CHUNK_TYPE)
+    def chunks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield from split_batch(batch, size, overlap, seps)
 
     return chunks(text)
 

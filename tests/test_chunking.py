@@ -92,3 +92,15 @@ def test_chunk_table(spark):
     ]
     from lawloom.schemas import CHUNK_METADATA
     assert rows[0]["metadata"].asDict().keys() == {f.name for f in CHUNK_METADATA.fields}
+
+
+def test_chunks_are_made_in_arrays_of_bounded_size(monkeypatch):
+    """A batch of many texts gives many arrays, of the same chunks; nulls and empty texts keep their places."""
+    import pyarrow as pa
+
+    texts = [None, "", "a b " * 400, None] + ["one two. " * 300] * 50 + [""]
+    monkeypatch.setattr(C, "SPLIT_AT_ONCE", 5_000)
+    made = list(C.split_batch(pa.array(texts), 1024, 256))
+    assert len(made) > 10 and max(len(m.values) for m in made) <= 10
+    want = [None if t is None else [{"text": c, "start_index": s} for c, s in C.split_text(t, 1024, 256)] for t in texts]
+    assert [row for m in made for row in m.to_pylist()] == want
