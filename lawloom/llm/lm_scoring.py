@@ -5,7 +5,8 @@ one vocabulary, the tokenizer's, with the same smoothing; the background's count
 target's number of tokens, so that smoothing weighs alike in both. A document's score is the mean over
 its tokens of (target loss - background loss): the lower, the more like the target.
 
-Texts are encoded once, into a written table of token ids; both passes read that. Its rows are dealt into
+Texts are encoded once, into a written table of token ids; both passes read that, and neither moves it for the
+labels, which are joined to row numbers. Its rows are dealt into
 blocks by a row number, so rows of one doc_id lie in many blocks. Each block counts its distinct bigrams; counts
 are summed per bigram over all blocks by a shuffle, and each block gets back the sums of just its own bigrams, with which it scores its documents. So no model is held whole anywhere: a task holds one block's
 tokens and bigrams. Only counts per token of the vocabulary are broadcast. All documents and all labels are
@@ -74,25 +75,26 @@ def score(docs: DataFrame, labels: DataFrame, path: str | None = None) -> DataFr
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("key"))
         .agg(F.min("quality").alias("quality")).where("quality = 1").select("key", F.lit(True).alias("hit"))
     )
-    # Rows without doc_id are spread by their tokens and meet no label.
-    keyed = encoded(docs, path).withColumn("key", F.coalesce("doc_id", F.xxhash64("ids")))
-    joined = keyed.join(good, "key", "left").select(
-        "doc_id", "ids", (F.col("hit").isNotNull() & F.col("doc_id").isNotNull()).alias("target"), F.monotonically_increasing_id().alias("row")
-    )
-    rows = stage(joined, "lm-ids")
+    rows = stage(encoded(docs, path).withColumn("row", F.monotonically_increasing_id()), "lm-ids")
     size = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (BLOCK_TOKENS * dtype.itemsize)))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+    # Labels meet row numbers, not tokens: those of a block's target rows come to it beside its texts.
+    named = dealt.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("key"), F.col("block").alias("at"), F.col("row").alias("target"))
+    wanted = named.join(good, "key").select("at", "target")
 
-    def count(texts: pa.Table) -> pa.Table:
+    def count(texts: pa.Table, hits: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("block", "pair", "n_all", "n_target")})
         pairs, counts = bigrams(texts.column("ids"), dtype, base)
-        target = np.repeat(texts.column("target").to_numpy(), counts)
+        target = np.repeat(np.isin(texts.column("row").to_numpy(), hits.column("target").to_numpy()), counts)
         seen, at = np.unique(pairs, return_inverse=True)
         n_all = np.bincount(at, minlength=len(seen))
         n_target = np.bincount(at[target], minlength=len(seen))
         return pa.table({"block": np.full(len(seen), texts.column("block")[0].as_py()), "pair": seen, "n_all": n_all, "n_target": n_target})
 
-    counted = stage(dealt.select("block", "target", "ids").groupBy("block").applyInArrow(count, COUNTS), "lm-counts")
+    told = dealt.select("block", "row", "ids").groupBy("block").cogroup(wanted.groupBy("at"))
+    counted = stage(told.applyInArrow(count, COUNTS), "lm-counts")
     # At most one row per token of the vocabulary, and one for the start.
     of_token, of_context = np.zeros((2, base)), np.zeros((2, base))
     for name, table in (("pair % {}", of_token), ("pair div {}", of_context)):

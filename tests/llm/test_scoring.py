@@ -134,3 +134,20 @@ def test_rows_of_one_doc_id_are_judged_each(spark, smoke):
     mixed = docs.where(f"doc_id <> {bad}").union(docs.where(f"doc_id = {bad}").selectExpr(f"{good}L", "text"))
     kept = quality.keep(mixed, labels).where(f"doc_id = {good}")
     assert [r.text for r in kept.collect()] == [docs.where(f"doc_id = {good}").first().text]
+
+
+def test_labels_do_not_move_tokens(spark, smoke, monkeypatch):
+    """Tokens are dealt out twice, for counting and for judging; the join with labels takes row numbers alone."""
+    plans, kept = [], lm_scoring.stage
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(lm_scoring, "stage", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lm_scoring.score(smoke("documents"), smoke("labels"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plans[0] and "Join" not in plans[0]
