@@ -388,3 +388,17 @@ def test_pruned_search_of_few(spark):
     assert pruned.nearest_pruned(rows, rows, 5)[0].count() == 12
     assert pruned.nearest_pruned(rows, rows.limit(0), 5)[0].count() == 0
     assert pruned.nearest_pruned(rows.limit(0), rows, 5)[0].count() == 0
+
+
+def test_first_unified_build_looks_for_no_touched_bills(spark, tmp_path, monkeypatch):
+    """Without a stored result every bill is made; which ones have changed is not asked."""
+    status = spark.createDataFrame([("o-1", 7, [("v1", "d", "https://example.org/1/a.xml")])],
+                                   "legis_id string, congress_num int, text_versions array<struct<type:string,date:string,url:string>>")
+    texts = spark.sql("SELECT 't-1' AS tv_id, 'o-1' AS legis_id, 'a.xml' AS file_name, DATE'2024-01-01' AS lastmod, 'dtd' AS xml_type, 7 AS congress_num")
+    paths = [str(tmp_path / n) for n in ("unified", "status", "texts", "new_status", "new_texts")]
+    for rows, path in ((status, paths[1]), (texts, paths[2])):
+        rows.write.partitionBy("congress_num").parquet(path)
+        rows.withColumn("is_new", F.lit(True)).write.parquet(path.replace("/status", "/new_status").replace("/texts", "/new_texts"))
+    monkeypatch.setattr(unify, "touched_bills", None)
+    unify.refresh_folder(spark, *paths, versions="text_versions")
+    assert [(r["legis_id"], len(r["tvs"])) for r in spark.read.parquet(paths[0]).collect()] == [("o-1", 1)]
