@@ -4,13 +4,14 @@ import collections
 import os
 import pathlib
 import random
+import time
 
 import numpy as np
 import pytest
 from lawloom.functions import documents
 from lawloom.operators import codes, neighbours, pruned, quality, unify, upsert
 from lawloom.plans import storage_queries as Q, table_queries
-from lawloom.sources import buckets, members, pages, treesource
+from lawloom.sources import buckets, members, pages, tables as stored_tables, treesource
 from lawloom.streaming import pairs
 from lawloom.streaming.ingest import file_arrivals
 from pyspark.sql import functions as F
@@ -402,3 +403,58 @@ def test_first_unified_build_looks_for_no_touched_bills(spark, tmp_path, monkeyp
     monkeypatch.setattr(unify, "touched_bills", None)
     unify.refresh_folder(spark, *paths, versions="text_versions")
     assert [(r["legis_id"], len(r["tvs"])) for r in spark.read.parquet(paths[0]).collect()] == [("o-1", 1)]
+
+
+def three_arrivals(spark):
+    """Bills and texts of two splits; later arrivals change lists, owners and dates, and bring new keys."""
+    bills = "legis_id string, congress_num int, lists array<struct<type string, date string, url string>>, stage int"
+    texts = "tv_id string, legis_id string, file_name string, lastmod string, xml_type string, congress_num int, stage int"
+    listed = lambda *files: [("t", "d", f"u/{f}") for f in files]
+    split = lambda k: 1 + k % 2
+    first = [(f"b{k}", split(k), listed(f"f{k}", f"g{k}"), 0) for k in range(40)]
+    second = [(f"b{k}", split(k), listed(f"g{k}", f"f{k + 2}"), 1) for k in range(30, 50)]
+    third = [(f"b{k}", 1, listed(), 2) for k in range(0, 20, 2)]
+    made = [(f"v{k}{x}", f"b{k}", f"{x}{k}", "2024", "dtd", split(k), 0) for k in range(40) for x in "fg"]
+    moved = [(f"v{k}f", f"b{k + 2}", f"f{k}", "2025", "dtd", split(k), 1) for k in range(10, 45)]
+    older = [(f"v{k}g", f"b{k}", f"g{k}", "2026", "dtd", 1, -1) for k in range(0, 20, 2)]
+    return [tuple(spark.createDataFrame(rows, s) for rows, s in zip(x, (bills, texts))) for x in ((first, made), (second, moved), (third, older))]
+
+
+def kept_current(spark, root, arrivals):
+    for n, arrived in enumerate(arrivals):
+        for rows, name, key in zip(arrived, ("status", "texts"), ("legis_id", "tv_id")):
+            upsert.upsert_folder(rows, f"{root}/{name}", [key], ["stage"], "congress_num", changes=f"{root}/c{n}/{name}")
+        unify.refresh_folder(spark, *[f"{root}/{p}" for p in ("unified", "status", "texts", f"c{n}/status", f"c{n}/texts")], versions="lists")
+    return [spark.read.parquet(f"{root}/{name}") for name in ("unified", "status", "texts")]
+
+
+@pytest.mark.parametrize("round_bytes", [1, 1 << 40])
+def test_tables_kept_current_in_rounds_equal_a_whole_build(spark, tmp_path, monkeypatch, round_bytes):
+    monkeypatch.setattr(stored_tables, "ROUND_BYTES", round_bytes)
+    arrivals = three_arrivals(spark)
+    unified, status, texts = kept_current(spark, str(tmp_path), arrivals)
+    assert stored_tables.round_count(status) == (stored_tables.MOST_ROUNDS if round_bytes == 1 else 1)
+    plain = lambda df: sorted(repr(r) for r in df.select(*sorted(df.columns)).collect())
+    for n, (table, key) in enumerate(((status, "legis_id"), (texts, "tv_id"))):
+        came = arrivals[0][n].unionByName(arrivals[1][n]).unionByName(arrivals[2][n])
+        assert plain(table) == plain(upsert.latest_rows(came, [key], ["stage"]))
+    assert plain(unified) == plain(unify.unify(status, texts, "lists").select(*unified.columns))
+    changed = spark.read.parquet(f"{tmp_path}/c1/texts")
+    assert changed.groupBy("is_new").count().orderBy("is_new").collect() == [(False, 30), (True, 35)]
+    assert {p.name for p in tmp_path.iterdir()} == {"unified", "status", "texts", "c0", "c1", "c2"}
+
+
+def test_keeping_tables_current_leaves_no_second_copy(spark, tmp_path, monkeypatch):
+    """What is kept beside the tables and their changes: ids of touched bills; shuffle files go with their step."""
+    cuts, cut = [], unify.cut_lineage
+    for module in (upsert, unify):
+        monkeypatch.setattr(module, "cut_lineage", lambda df: cuts.append(df.columns) or cut(df))
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {p.name for d in disk.localDirsString() for p in pathlib.Path(d).rglob("shuffle_*.data")}
+    before = shuffles()
+    kept_current(spark, str(tmp_path), three_arrivals(spark)[:2])
+    assert cuts == [["legis_id"]]
+    until = time.time() + 30
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffles() - before == set()
